@@ -29,6 +29,7 @@ LOADS = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
 ])
 WHOLE = "*"
+WHOLE_PART = "whole"
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,10 @@ def new_run() -> str:
 
 
 class FileTable:
-    """A Parquet table under ``root``; ``whole`` tables are replaced in one piece."""
+    """A Parquet table under ``root``; ``whole`` tables are replaced in one piece.
+
+    Each run writes folders of its own, so runs may work side by side.
+    """
 
     def __init__(self, spark: SparkSession, root: str, whole: bool = False):
         self.spark = spark
@@ -56,7 +60,7 @@ class FileTable:
     def current(self) -> dict[str, Load]:
         """The load in use per source file. One row per file, so it fits the driver at any data size."""
         try:
-            listed = self.spark.read.schema(LOADS).parquet(self.loads)
+            listed = self.spark.read.schema(LOADS).option("recursiveFileLookup", True).parquet(self.loads)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -67,21 +71,22 @@ class FileTable:
 
     def stage(self, df: DataFrame, run: str) -> None:
         """Write the rows next to the ones in use; nothing reads them yet."""
-        df.withColumn("_load_id", self._load_id(run)).write.partitionBy("_load_id").mode("append").parquet(self.data)
+        stem = F.lit(WHOLE_PART) if self.whole else F.replace(base_name("_source_file"), F.lit(".parquet"), F.lit(""))
+        df.withColumn("_part", stem).write.partitionBy("_part").parquet(f"{self.data}/{run}")
 
     def staged_rows(self, run: str, files: Iterable[str], schema: T.StructType) -> dict[str, int]:
-        ids = {self._load_id_of(f, run): f for f in files}
-        counted = self._scan(schema, list(ids)).groupBy("_load_id").count().collect()
-        return dict.fromkeys(ids.values(), 0) | {ids[row["_load_id"]]: row["count"] for row in counted}
+        with_part = T.StructType([*schema.fields, T.StructField("_part", T.StringType())])
+        written = self.spark.read.schema(with_part).parquet(f"{self.data}/{run}")
+        counted = {row["_part"]: row["count"] for row in written.groupBy("_part").count().collect()}
+        return {f: counted.get(_part(f), 0) for f in files}
 
     def commit(
         self, run: str, rows: dict[str, int], schema: T.StructType, built_from: dict[str, str] | None = None
     ) -> None:
         now = datetime.now(UTC)
-        entries = [
-            (f, self._load_id_of(f, run), (built_from or {}).get(f), n, schema.json(), now) for f, n in rows.items()
-        ]
-        self.spark.createDataFrame(entries, LOADS).coalesce(1).write.mode("append").parquet(self.loads)
+        entries = [(f, f"{run}/_part={_part(f)}", (built_from or {}).get(f), n, schema.json(), now)
+                   for f, n in rows.items()]
+        self.spark.createDataFrame(entries, LOADS).coalesce(1).write.parquet(f"{self.loads}/{run}")
 
     def replace(
         self, df: DataFrame, files: Iterable[str] = (WHOLE,), built_from: dict[str, str] | None = None
@@ -100,23 +105,14 @@ class FileTable:
             raise LookupError(f"{self.data} has not been loaded yet")
         chosen = [current[f] for f in (current if files is None else files) if f in current]
         schema = _merged(load.fields for load in current.values())
-        return self._scan(schema, [load.load_id for load in chosen if load.rows]).drop("_load_id")
-
-    def _scan(self, schema: T.StructType, load_ids: list[str]) -> DataFrame:
-        with_id = T.StructType([*schema.fields, T.StructField("_load_id", T.StringType())])
-        wanted = F.col("_load_id").isin(load_ids) if load_ids else F.lit(False)
-        return self.spark.read.schema(with_id).parquet(self.data).where(wanted)
-
-    def _load_id(self, run: str):
-        if self.whole:
-            return F.lit(self._load_id_of(WHOLE, run))
-        stem = F.replace(base_name("_source_file"), F.lit(".parquet"), F.lit(""))
-        return F.concat_ws(".", stem, F.lit(run))
-
-    def _load_id_of(self, source_file: str, run: str) -> str:
-        if self.whole:
-            return f"whole.{run}"
-        return f"{source_file.rsplit('/', 1)[-1].replace('.parquet', '')}.{run}"
+        folders = [f"{self.data}/{load.load_id}" for load in chosen if load.rows]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+
+def _part(source_file: str) -> str:
+    return WHOLE_PART if source_file == WHOLE else source_file.rsplit("/", 1)[-1].replace(".parquet", "")
 
 
 def _merged(schemas: Iterable[str]) -> T.StructType:
