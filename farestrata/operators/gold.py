@@ -24,9 +24,9 @@ def dim_date(spark: SparkSession, calendar: Calendar = Calendar()) -> DataFrame:
 
 def calendar_days(bounds: DataFrame) -> DataFrame:
     """Date dimension over ``[start, end)`` taken from a one-row frame."""
-    spine = bounds.where("start < end").select(
-        F.explode(F.sequence("start", F.date_sub("end", 1), F.expr("interval 1 day"))).alias("full_date")
-    )
+    spine = bounds.select(
+        F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("full_date"), "end"
+    ).where("full_date < end")
     iso_day = iso_day_of_week("full_date")
     return spine.select(
         date_key("full_date").alias("date_key"),
