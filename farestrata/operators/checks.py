@@ -64,28 +64,47 @@ def row_checks(df: DataFrame, spec: TableChecks) -> DataFrame | None:
     return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
-def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once; NULL is not a value."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).where("n > 1")
-    return repeated.agg(_result("unique", table, column, F.count("*")).alias("r")).select("r.*")
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per non-NULL value of the given columns, from one scan: ``column, value``."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*pairs))).where("value is not null")
 
 
-def relationship_check(df: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Number of rows whose non-NULL key has no parent.
+def unique_checks(df: DataFrame, spec: TableChecks) -> DataFrame | None:
+    """Per column, the number of values that occur more than once; NULL is not a value."""
+    if not spec.unique:
+        return None
+    repeated = _values(df, spec.unique).groupBy("column", "value").agg(F.count("*").alias("n")).where("n > 1")
+    results = [_result("unique", spec.table, c, F.count_if(F.col("column") == c)) for c in spec.unique]
+    return repeated.agg(F.array(*results).alias("results")).select(F.inline("results"))
+
+
+def relationship_checks(df: DataFrame, spec: TableChecks, parents: dict[str, DataFrame]) -> DataFrame | None:
+    """Per foreign key, the number of rows whose non-NULL key has no parent.
 
     Rows are counted per key first, so a key held by many rows crosses the network once per task.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_child")).agg(F.count("*").alias("n"))
-    keys = parent.select(F.col(key).alias("_parent"))
-    orphans = counted.join(keys, counted["_child"] == keys["_parent"], "left_anti")
-    failures = F.coalesce(F.sum("n"), F.lit(0))
-    return orphans.agg(_result("relationships", table, column, failures).alias("r")).select("r.*")
+    if not spec.relationships:
+        return None
+    counted = _values(df, [r.column for r in spec.relationships]).groupBy("column", "value").agg(
+        F.count("*").alias("n")
+    )
+    keys = reduce(DataFrame.union, [
+        parents[r.table].select(F.lit(r.column).alias("column"), F.col(r.key).cast("string").alias("value"))
+        for r in spec.relationships
+    ])
+    orphans = counted.join(keys, ["column", "value"], "left_anti")
+    results = [
+        _result("relationships", spec.table, r.column,
+                F.coalesce(F.sum(F.when(F.col("column") == r.column, F.col("n"))), F.lit(0)))
+        for r in spec.relationships
+    ]
+    return orphans.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
 def run_checks(df: DataFrame, spec: TableChecks, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    parts = [row_checks(df, spec)]
-    parts += [unique_check(df, spec.table, c) for c in spec.unique]
-    parts += [relationship_check(df, spec.table, r.column, parents[r.table], r.key) for r in spec.relationships]
+    """All checks of a table in at most three scans of the columns they name."""
+    parts = [row_checks(df, spec), unique_checks(df, spec), relationship_checks(df, spec, parents or {})]
     return reduce(DataFrame.union, [p for p in parts if p is not None])
 
 

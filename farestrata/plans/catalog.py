@@ -504,10 +504,11 @@ def incremental_replace(data: Inputs) -> DataFrame:
     names = [row[0] for row in rows.select("_source_file").distinct().collect()]  # one per month
     changed = [name for name in names if name[-11:] in ("-03.parquet", "-06.parquet")]
     table = FileTable(data.spark, f"{session.shared_folder(data.spark)}/incremental-{new_run()}")
-    table.replace(rows, names)
+    # rows arrive mixed; gather each file into pieces of bounded size instead of one piece per task
+    table.replace(rows.hint("rebalance", "_source_file"), names)
     march = rows.where(_file_of(3)).withColumns({
         "total_amount": F.col("total_amount") + 1,
         "_loaded_at": F.col("_loaded_at") + F.expr("interval 30 days"),
     })
-    table.replace(march, changed)
+    table.replace(march.hint("rebalance", "_source_file"), changed)
     return table.read()

@@ -72,9 +72,13 @@ def test_load_reload_and_failures(spark, folder, tmp_path):
     land(folder, 4, [{}])
     with pytest.raises(pipeline.LoadFailed, match="2025-03"):
         pipeline.load_trips(lake, source, "2025-01", "2025-04")
-    pipeline.run_layers(lake)
+    pipeline.build_bronze(lake)
+    pipeline.build_silver(lake)
+    pipeline.build_gold(lake)
     assert per_file(lake, "silver.standardized") == {"2025-01": 3, "2025-02": 2, "2025-04": 1}
     assert per_file(lake, "gold.fct_trips") == {"2025-02": 2, "2025-04": 1}
+    with pytest.raises(pipeline.LayerCheckFailed, match="every loaded file reaches the fact.: 1$"):
+        pipeline.gate(lake, "gold")
     states = {r.source_file[-15:-8]: (r.status, r.attempts) for r in lake.ledger().where("source_period is not null").collect()}
     assert states == {
         "2025-01": ("LOADED", 2), "2025-02": ("LOADED", 1), "2025-03": ("FAILED", 2), "2025-04": ("LOADED", 1)
