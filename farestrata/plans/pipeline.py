@@ -33,7 +33,7 @@ from farestrata.sources.tables import FileTable, new_run
 
 # Groups of repeated trips that may be broadcast: a key and a position are well under 200 bytes.
 BROADCAST_GROUPS = 200_000
-PARALLEL_LOADS = 4
+PARALLEL = 4
 
 WHOLE_TABLES = (
     "raw.zones", "raw.ledger", "bronze.zones", "silver.zones", "silver.vendors", "silver.rate_codes",
@@ -191,7 +191,7 @@ def load_trips(
             },
         )
 
-    with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
+    with ThreadPoolExecutor(PARALLEL) as pool:
         outcomes = list(pool.map(inheritable_thread_target(attempt), plan))
     entries = [entry for _, entry in outcomes if entry]
     if entries:
@@ -252,8 +252,13 @@ def build_changed(
     return changed
 
 
-def rebuild(lake: Lake, target: str, df: DataFrame) -> None:
-    lake.table(target).replace(df.coalesce(1))
+def rebuild(lake: Lake, **tables: DataFrame) -> None:
+    """Replace small tables, given as ``layer__table``, a few at a time."""
+    def one(item: tuple[str, DataFrame]) -> None:
+        lake.table(item[0].replace("__", ".")).replace(item[1].coalesce(1))
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        list(pool.map(inheritable_thread_target(one), tables.items()))
 
 
 def judged_trips(lake: Lake, bronze_trips: DataFrame) -> DataFrame:
@@ -281,25 +286,32 @@ def judged_trips(lake: Lake, bronze_trips: DataFrame) -> DataFrame:
 
 
 def build_bronze(lake: Lake, full_refresh: bool = False) -> None:
+    rebuild(lake, bronze__zones=bronze.bronze_zones(lake.read("raw.zones")))
     build_changed(lake, "bronze.trips", "raw.trips", bronze.bronze_trips, full_refresh)
-    rebuild(lake, "bronze.zones", bronze.bronze_zones(lake.read("raw.zones")))
 
 
 def build_silver(lake: Lake, full_refresh: bool = False) -> None:
-    for name in ("vendors", "rate_codes", "payment_types"):
-        rebuild(lake, f"silver.{name}", getattr(refs, name)(lake.spark))
-    rebuild(lake, "silver.zones", silver.clean_zones(lake.read("bronze.zones")))
+    rebuild(
+        lake,
+        silver__vendors=refs.vendors(lake.spark),
+        silver__rate_codes=refs.rate_codes(lake.spark),
+        silver__payment_types=refs.payment_types(lake.spark),
+        silver__zones=silver.clean_zones(lake.read("bronze.zones")),
+    )
     build_changed(lake, "silver.standardized", "bronze.trips", lambda b: judged_trips(lake, b), full_refresh)
     build_changed(lake, "silver.valid", "silver.standardized", silver.valid_trips, full_refresh)
 
 
 def build_gold(lake: Lake, full_refresh: bool = False) -> None:
-    rebuild(lake, "gold.dim_date", gold.dim_date(lake.spark, lake.calendar))
-    rebuild(lake, "gold.dim_time", gold.dim_time(lake.spark))
-    rebuild(lake, "gold.dim_zone", gold.dim_zone(lake.read("silver.zones")))
-    rebuild(lake, "gold.dim_vendor", gold.dim_vendor(lake.read("silver.vendors")))
-    rebuild(lake, "gold.dim_rate_code", gold.dim_rate_code(lake.read("silver.rate_codes")))
-    rebuild(lake, "gold.dim_payment_type", gold.dim_payment_type(lake.read("silver.payment_types")))
+    rebuild(
+        lake,
+        gold__dim_date=gold.dim_date(lake.spark, lake.calendar),
+        gold__dim_time=gold.dim_time(lake.spark),
+        gold__dim_zone=gold.dim_zone(lake.read("silver.zones")),
+        gold__dim_vendor=gold.dim_vendor(lake.read("silver.vendors")),
+        gold__dim_rate_code=gold.dim_rate_code(lake.read("silver.rate_codes")),
+        gold__dim_payment_type=gold.dim_payment_type(lake.read("silver.payment_types")),
+    )
     build_changed(lake, "gold.fct_trips", "silver.valid", gold.fct_trips, full_refresh)
 
 
