@@ -35,7 +35,8 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    return (seconds_between(start, end) / F.lit(60).cast("decimal(3,1)")).cast(AMOUNT)
+    """Minutes with two decimals. Whole seconds never fall half-way between two of them, so doubles are exact here."""
+    return (seconds_between(start, end) / F.lit(60.0)).cast(AMOUNT)
 
 
 def month_start(moment: Column | str) -> Column:

@@ -23,6 +23,5 @@ def base_name(path: Column | str) -> Column:
 
 
 def period_of_file(path: Column | str) -> Column:
-    """First day of the month at the end of a file name ``..._yyyy-MM.parquet``."""
-    stem = F.replace(F.col(path) if isinstance(path, str) else path, F.lit(".parquet"), F.lit(""))
-    return F.to_date(F.concat(F.right(stem, F.lit(7)), F.lit("-01")))
+    """First day of the month in a file name that ends in ``yyyy-MM.parquet``."""
+    return F.to_date(F.concat(F.substring(path, -15, 7), F.lit("-01")))

@@ -125,26 +125,19 @@ def known_codes(typed_trips: DataFrame, refs: References) -> DataFrame:
     return joined
 
 
-def _passengers_in_range(limits: Limits) -> Column:
-    return F.col("passenger_count_reported").between(1, limits.max_passengers)
-
-
-def _not_true(condition: Column) -> Column:
-    return ~F.coalesce(condition, F.lit(False))
-
-
 def imputations(limits: Limits) -> Column:
     """Which fields were imputed. Expects the output of :func:`known_codes`."""
     missing = {code.tag: F.col(code.known).isNull() for code in CODES}
     flag = F.col("store_and_fwd_flag_reported")
+    passengers = F.coalesce("passenger_count_reported", F.lit(0))
     return tag_list([
         ("VENDOR", missing["VENDOR"]),
-        ("PASSENGER_COUNT", _not_true(_passengers_in_range(limits))),
+        ("PASSENGER_COUNT", ~passengers.between(1, limits.max_passengers)),
         ("RATE_CODE", missing["RATE_CODE"]),
         ("PICKUP_LOCATION", missing["PICKUP_LOCATION"]),
         ("DROPOFF_LOCATION", missing["DROPOFF_LOCATION"]),
         ("PAYMENT_TYPE", missing["PAYMENT_TYPE"]),
-        ("STORE_AND_FWD_FLAG", _not_true(flag.isin("Y", "N"))),
+        ("STORE_AND_FWD_FLAG", ~(flag.eqNullSafe("Y") | flag.eqNullSafe("N"))),
     ])
 
 
@@ -156,13 +149,13 @@ def standardize(typed_trips: DataFrame, refs: References, limits: Limits = Limit
         return F.coalesce(reported, F.lit(0).cast("decimal(18,2)")).alias(name)
 
     code = {c.column: F.coalesce(c.known, F.lit(c.unknown)).alias(c.column) for c in CODES}
-    flag = F.col("store_and_fwd_flag_reported")
+    flag, passengers = F.col("store_and_fwd_flag_reported"), F.col("passenger_count_reported")
     return known_codes(typed_trips, refs).select(
         "trip_id",
         code["vendor_id"],
         "pickup_datetime",
         "dropoff_datetime",
-        F.when(_passengers_in_range(limits), F.col("passenger_count_reported")).alias("passenger_count"),
+        F.when(passengers.between(1, limits.max_passengers), passengers).alias("passenger_count"),
         "trip_distance_miles",
         minutes_between("pickup_datetime", "dropoff_datetime").alias("trip_duration_minutes"),
         code["rate_code_id"],

@@ -71,7 +71,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(l_linestatus = 'O', 2.5D, null) as congestion_surcharge",
         "if(l_partkey % 10 = 0, 1.75D, null) as airport_fee",
         "if(l_suppkey % 4 = 0, 0.75D, null) as cbd_congestion_fee",
-        "concat('yellow/yellow_tripdata_', date_format(period, 'yyyy-MM'), '.parquet') as _source_file",
+        "concat('yellow/yellow_tripdata_', left(string(period), 7), '.parquet') as _source_file",
         "line_id * 2 + copy_no as _file_row_number",
         "cast(date_add(period, 35) as timestamp_ntz) as _file_last_modified",
         "cast(date_add(period, 40) as timestamp_ntz) as _loaded_at",
