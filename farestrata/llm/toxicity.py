@@ -7,8 +7,8 @@ zero, the step goes back on it instead of fitting the toxic documents hidden amo
 different seeds are averaged.
 
 Features are the words of a text, lower-cased, and their beginnings of 4 and 5 letters, each once per document, so that a long text
-doesn't dilute what it says and inflected forms count together. The ``FEATURES`` that separate both sets most are
-kept.
+doesn't dilute what it says and inflected forms count together. Features whose
+shares in both sets differ by ``APART`` standard deviations are kept, ``FEATURES`` of them at most.
 
 Learning is bounded: at most about ``MOST_TOXIC`` toxic and ``MOST_OPEN`` unlabelled documents, chosen by hash, from the rows
 outside the held-out fold. Scoring reads every document whole. NULL and empty texts are scored by the bias alone. Repeated rows
@@ -30,13 +30,14 @@ from farestrata.llm.common import held_out, keep_batches_small, map_rows, stored
 
 MOST_TOXIC = 4_000
 MOST_OPEN = 12_000
-FEATURES = 3_000
-RARE = 5
+FEATURES = 400
+#: Standard deviations by which a feature must differ between the two sets, so that few labels don't bring in chance.
+APART = 4.0
 PREFIXES = (4, 5)
 SEEDS = (1, 2, 3)
 STEPS = 600
-BATCH = 512
-RATE = 0.02
+BATCH, OPEN_BATCH = 512, 2_048
+RATE = 0.05
 DECAY = 1e-4
 LETTERS = re.compile(r"[^\W\d_]{3,}")
 CACHE = 500_000
@@ -83,23 +84,23 @@ class Model:
 def train_one(
     toxic: np.ndarray, open_: np.ndarray, prior: float, seed: int, steps: int = STEPS
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias from two 0/1 matrices by Adam on the non-negative risk with the sigmoid loss."""
+    """Weights and bias from two 0/1 matrices by Adam on the non-negative risk with the (bounded) sigmoid loss."""
     rng = np.random.default_rng(seed)
     width = toxic.shape[1]
     theta = np.zeros(width + 1)
-    theta[-1] = np.log(prior / (1 - prior))
+    theta[-1] = -1
     first, second = np.zeros_like(theta), np.zeros_like(theta)
 
     def part(rows: np.ndarray, sign: float) -> tuple[float, np.ndarray]:
-        """Mean logistic loss for ``sign`` and its gradient."""
-        margin = sign * (rows @ theta[:-1] + theta[-1])
-        loss = np.logaddexp(0, -margin)
-        slope = -sign / (1 + np.exp(np.clip(margin, -50, 50))) / len(rows)
+        """Mean loss for ``sign`` and its gradient."""
+        margin = np.clip(sign * (rows @ theta[:-1] + theta[-1]), -50, 50)
+        loss = 1 / (1 + np.exp(margin))
+        slope = -sign * loss * (1 - loss) / len(rows)
         return float(loss.mean()), np.append(slope @ rows, slope.sum())
 
     for step in range(1, steps + 1):
         p = toxic[rng.integers(0, len(toxic), min(BATCH, len(toxic)))]
-        u = open_[rng.integers(0, len(open_), min(BATCH, len(open_)))]
+        u = open_[rng.integers(0, len(open_), min(OPEN_BATCH, len(open_)))]
         _, toxic_right = part(p, 1.0)
         toxic_wrong_loss, toxic_wrong = part(p, -1.0)
         open_loss, open_right = part(u, -1.0)
@@ -151,10 +152,13 @@ def learn(
     counts = (
         map_rows(sample, counted, "name string, open bigint, toxic bigint")
         .groupBy("name").agg(F.sum("open").alias("open"), F.sum("toxic").alias("toxic"))
-        .where(F.col("open") + F.col("toxic") >= RARE)
     )
-    gap = F.abs(F.sqrt(F.col("toxic") / n_toxic) - F.sqrt(F.col("open") / n_open))
-    names = [r.name for r in counts.orderBy(gap.desc(), "name").limit(FEATURES).collect()]
+    # the arc sine of the square root of a share has the same variance whatever the share
+    gap = 2 * F.abs(F.asin(F.sqrt(F.col("toxic") / n_toxic)) - F.asin(F.sqrt(F.col("open") / n_open)))
+    apart = counts.withColumn("gap", gap / (1 / n_toxic + 1 / n_open) ** 0.5).where(F.col("gap") >= APART)
+    names = [r.name for r in apart.orderBy(F.desc("gap"), "name").limit(FEATURES).collect()]
+    if not names:
+        return Model([], np.zeros((0, 0)), np.zeros(0))
     reader = Model(names, np.zeros((len(names), 1)), np.zeros(1))
 
     def placed(batches) -> Iterator:
