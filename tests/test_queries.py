@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import difference, duck
+from farestrata.plans import catalog, oracle
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def database():
 
 def test_every_query_has_a_counterpart():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and SQL.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
