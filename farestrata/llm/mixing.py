@@ -131,11 +131,14 @@ def plan(
     return rows, thresholds(rows, wanted)
 
 
-def _with_copies(rows: DataFrame, limits: DataFrame, source, mixed) -> DataFrame:
-    renamed = limits.select(*[F.col(c).alias(f"_mix_{c}") for c in limits.columns])
-    return rows.join(renamed, source.eqNullSafe(F.col("_mix_source"))).withColumn(
-        "_mix_times", F.col("_mix_copies") + (mixed < F.col("_mix_threshold")).cast("int")
-    )
+def _with_copies(rows: DataFrame, limits: DataFrame, source_col: str, mixed) -> tuple[DataFrame, dict[str, str]]:
+    """``rows`` with the columns of ``limits`` and ``times``, under names that no other column has."""
+    names = {c: f"_{c}_{uuid.uuid4().hex}" for c in (*limits.columns, "times")}
+    renamed = limits.select(*[F.col(c).alias(names[c]) for c in limits.columns])
+    joined = rows.join(renamed, F.col(source_col).eqNullSafe(F.col(names["source"])))
+    return joined.withColumn(
+        names["times"], F.col(names["copies"]) + (mixed < F.col(names["threshold"])).cast("int")
+    ), names
 
 
 def mixture(
@@ -144,12 +147,13 @@ def mixture(
 ) -> DataFrame:
     """``id, size, source_size, target, taken``: the words the mix takes of every document, repeats counted."""
     rows, limits = plan(docs, weights, seed, id_col, text_col, source_col)
-    return _with_copies(rows, limits, F.col("source"), F.col("mixed")).select(
+    joined, names = _with_copies(rows, limits, "source", F.col("mixed"))
+    return joined.select(
         F.col("id").alias(id_col),
         "size",
-        F.col("_mix_source_size").alias("source_size"),
-        F.col("_mix_target").alias("target"),
-        (F.col("size") * F.col("_mix_times")).alias("taken"),
+        F.col(names["source_size"]).alias("source_size"),
+        F.col(names["target"]).alias("target"),
+        (F.col("size") * F.col(names["times"])).alias("taken"),
     )
 
 
@@ -159,6 +163,6 @@ def mixed_documents(
 ) -> DataFrame:
     """``docs`` as the mix takes them: rows left out are gone, rows taken more than once are repeated."""
     _, limits = plan(docs, weights, seed, id_col, text_col, source_col)
-    copy = f"_copy_{uuid.uuid4().hex[:8]}"
-    taken = _with_copies(docs, limits, F.col(source_col), seeded_rank(id_col, seed)).where("_mix_times > 0")
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
+    joined, names = _with_copies(docs, limits, source_col, seeded_rank(id_col, seed))
+    times = F.col(names["times"])
+    return joined.where(times > 0).withColumn(names["times"], F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

@@ -156,7 +156,8 @@ def learn(
             rows = _unit(np.log1p(terms.matrix(texts)) * weight).astype("<f4")
             yield ids, marks, [row.tobytes() for row in rows]
 
-    sample = docs.join(picked, F.col(id_col) == F.col("id")).select("id", F.col("label").cast("int"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    sample = texts.join(picked, F.col("doc") == F.col("id")).select("id", F.col("label").cast("int"), "text")
     kind = dict(sample.dtypes)["id"]
     rows = sorted(
         map_rows(sample, vectors, f"id {kind}, label int, v binary").collect(), key=lambda r: (r.id, bytes(r.v))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from farestrata.llm.common import seeded_rank, stored
 
 #: Rows that one bucket should hold.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 _HASH_SPAN = 1 << 60
 
 

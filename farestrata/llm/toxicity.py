@@ -131,11 +131,10 @@ def learn(
 
     confirmed = stored(
         marked.where((F.col("label") == 1) & chosen("id", 5, most_toxic, toxic)).select("id"), "toxic-confirmed")
-    all_open = docs.where(~held_out(id_col))
-    picked = all_open.where(chosen(id_col, 9, most_open, all_open.count())).select(
-        F.lit(0).alias("confirmed"), F.col(text_col).alias("text"))
-    shown = docs.join(confirmed, F.col(id_col) == F.col("id"), "left_semi").select(
-        F.lit(1).alias("confirmed"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    all_open = texts.where(~held_out("doc"))
+    picked = all_open.where(chosen("doc", 9, most_open, all_open.count())).select(F.lit(0).alias("confirmed"), "text")
+    shown = texts.join(confirmed, F.col("doc") == F.col("id"), "left_semi").select(F.lit(1).alias("confirmed"), "text")
     sample = stored(shown.union(picked), "toxic-sample")
     n_toxic, n_open = sample.agg(F.coalesce(F.sum("confirmed"), F.lit(0)), F.coalesce(F.sum(1 - F.col("confirmed")), F.lit(0))).first()
     if not n_toxic or not n_open:
