@@ -83,10 +83,10 @@ def held_out(key: str) -> Column:
 def drop_losers(docs: DataFrame, losers: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """``docs`` without the rows whose ``keys`` stand in ``losers``; NULL keys match NULL keys.
 
-    ``losers`` is a stored narrow table, so Spark knows its size and broadcasts it only if it is small.
+    Always a sort-merge join: the list grows with the documents, so the plan is the same at every size.
     """
     names = {name: f"_key_{i}_{uuid.uuid4().hex[:8]}" for i, name in enumerate(keys)}
-    right = losers.select(*[F.col(name).alias(hidden) for name, hidden in names.items()])
+    right = losers.hint("merge").select(*[F.col(name).alias(hidden) for name, hidden in names.items()])
     same = F.lit(True)
     for name, value in keys.items():
         same = same & value.eqNullSafe(F.col(names[name]))
