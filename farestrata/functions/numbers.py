@@ -10,8 +10,8 @@ AMOUNT = "decimal(18,2)"
 
 
 def whole(column: Column | str) -> Column:
-    """Integer code; the source may carry it as 1.0, and a cast alone would truncate."""
-    return F.round(column, 0).cast("int")
+    """Integer code; the source may carry it as 1.0, and a cast alone would truncate. NULL if it needs more than 32 bits."""
+    return F.round(column, 0).try_cast("int")
 
 
 def money(column: Column | str) -> Column:

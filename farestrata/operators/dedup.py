@@ -6,11 +6,14 @@ position before it crosses the network.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farestrata.session import shared_folder
+
 
 def repeated_groups(df: DataFrame, keys: list[str], position: str) -> DataFrame:
     """One row per group with more than one member: its keys and the first position.
@@ -42,4 +45,13 @@ def flag_later_copies(df: DataFrame, repeated: DataFrame, keys: list[str], posit
 
 
 def mark_later_copies(df: DataFrame, keys: list[str], position: str, flag: str) -> DataFrame:
-    return flag_later_copies(df, repeated_groups(df, keys, position), keys, position, flag)
+    """Find the repeated groups on the key columns alone, store them, and flag their later members.
+
+    As the groups are stored, Spark knows their size: it broadcasts a short list, so the wide rows don't move, and
+    joins a long one by shuffle.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/repeated-{uuid.uuid4().hex}"
+    groups = repeated_groups(df, keys, position)
+    groups.write.parquet(folder)
+    return flag_later_copies(df, spark.read.schema(groups.schema).parquet(folder), keys, position, flag)

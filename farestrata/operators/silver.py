@@ -31,11 +31,14 @@ MONEY = list(MONEY_COLUMNS.values())
 
 
 def typed(bronze: DataFrame) -> DataFrame:
-    """Business names, whole-number codes, exact decimals."""
+    """Business names, whole-number codes, exact decimals.
+
+    A code that needs more than 32 bits is in no code table: it becomes NULL, and so the unknown member with its tag.
+    """
     kinds = dict(bronze.dtypes)
 
     def code(name: str) -> Column:
-        return whole(name) if kinds[name] in ("double", "float") else F.col(name).cast("int")
+        return whole(name) if kinds[name] in ("double", "float") else F.col(name).try_cast("int")
 
     return bronze.select(
         F.col("_record_id").alias("trip_id"),

@@ -16,11 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def number_lines(lineitem: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Give every order line a number of its own that depends only on the data.
 
     Numbering a whole month in one window would put each month on one task. Lines are numbered inside small slots
     (order, line number, part of the supplier key) and the slot is made part of the number: unique, not dense.
+    ``lines`` may be joined with orders before: then they are partitioned by order already and don't move again.
     """
     span = lineitem.select((F.max("l_orderkey") + 1).alias("span")).scalar()
     slot = [F.col("l_orderkey"), F.col("l_linenumber") % 8, F.col("l_suppkey") % 16]
@@ -29,11 +30,11 @@ def number_lines(lineitem: DataFrame) -> DataFrame:
         "l_shipdate", "l_returnflag", "l_linestatus",
     )
     rank = (F.row_number().over(window) - 1).cast("bigint")
-    return lineitem.withColumn("line_id", ((rank * span + slot[0]) * 8 + slot[1]) * 16 + slot[2])
+    return lines.withColumn("line_id", ((rank * span + slot[0]) * 8 + slot[1]) * 16 + slot[2])
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = number_lines(table(spark, sf_dir, "lineitem"))
+    lineitem = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
     pickup = F.expr("""
         case when not (l_linestatus = 'F' and l_tax = 0.01 and l_linenumber = 6) then
@@ -44,7 +45,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a supplier in fifty reports every trip twice
     copies = F.explode(F.expr("if(l_suppkey % 50 = 0, array(0, 1), array(0))"))
     trips = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        number_lines(lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey), lineitem)
         .withColumns({"pickup": pickup, "period": period})
         .withColumn("copy_no", copies)
     )

@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farestrata import refs, schemas, session
+from farestrata import refs, schemas
 from farestrata.config import (
     FAILED,
     LOADED,
@@ -26,13 +26,11 @@ from farestrata.config import (
     Calendar,
     Limits,
 )
-from farestrata.operators import bronze, checks, dedup, gold, ledger, marts, silver
+from farestrata.operators import bronze, checks, gold, ledger, marts, silver
 from farestrata.plans import suites
 from farestrata.sources import landing
 from farestrata.sources.tables import FileTable, new_run
 
-# Groups of repeated trips that may be broadcast: a key and a position are well under 200 bytes.
-BROADCAST_GROUPS = 200_000
 PARALLEL = 4
 
 WHOLE_TABLES = (
@@ -197,12 +195,11 @@ def load_trips(
     if entries:
         lake.record(entries)
     results = [result for result, _ in outcomes]
-    failed = [r.source_file for r in results if r.status == FAILED]
-    missing = [r.source_file for r in results if r.status == NOT_AVAILABLE]
-    if failed:
-        raise LoadFailed(f"{len(failed)} files failed: {failed}")
-    if missing and fail_on_missing:
-        raise LoadFailed(f"not published yet: {missing}")
+    summary = summarize(lake.spark, results).first()
+    unmet = {FAILED: summary.months_failed, NOT_AVAILABLE: summary.months_not_available if fail_on_missing else 0}
+    if any(unmet.values()):
+        named = [f"{r.source_file} ({r.status}: {r.message})" for r in results if unmet.get(r.status)]
+        raise LoadFailed(f"{len(named)} files are not loaded: {'; '.join(named)}")
     return results
 
 
@@ -262,27 +259,8 @@ def rebuild(lake: Lake, **tables: DataFrame) -> None:
 
 
 def judged_trips(lake: Lake, bronze_trips: DataFrame) -> DataFrame:
-    """Standardised and judged records, built from stored bronze rows.
-
-    The repeated groups are found on the key columns alone and written out, so their number is known: few of them
-    are broadcast and the wide rows never shuffle; many are joined by shuffle, and the rows are then brought
-    back to their files in pieces of bounded size.
-    """
-    standardized = silver.standardize(silver.typed(bronze_trips), lake.references(), lake.limits)
-    position = "_file_row_number"
-    folder = f"{session.shared_folder(lake.spark)}/repeated-{new_run()}"
-    dedup.repeated_groups(standardized, silver.COPY_KEY, position).write.parquet(folder)
-    repeated = lake.spark.read.parquet(folder)
-    few = repeated.count() <= BROADCAST_GROUPS
-    marked = dedup.flag_later_copies(
-        standardized,
-        F.broadcast(repeated) if few else repeated,
-        silver.COPY_KEY,
-        position,
-        silver.DUPLICATE_FLAG,
-    )
-    judged = silver.evaluate(marked, lake.limits).select(*silver.EVALUATED_COLUMNS)
-    return judged if few else judged.hint("rebalance", "_source_file")
+    """Standardised and judged records, built from stored bronze rows by the path that the queries use."""
+    return silver.standardized_trips(bronze_trips, lake.references(), lake.limits)
 
 
 def build_bronze(lake: Lake, full_refresh: bool = False) -> None:

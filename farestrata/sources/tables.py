@@ -72,7 +72,8 @@ class FileTable:
     def stage(self, df: DataFrame, run: str) -> None:
         """Write the rows next to the ones in use; nothing reads them yet."""
         stem = F.lit(WHOLE_PART) if self.whole else F.replace(base_name("_source_file"), F.lit(".parquet"), F.lit(""))
-        df.withColumn("_part", stem).write.partitionBy("_part").parquet(f"{self.data}/{run}")
+        # rows are gathered by file in pieces of bounded size, so a file's folder doesn't get one file per task
+        df.withColumn("_part", stem).hint("rebalance", "_part").write.partitionBy("_part").parquet(f"{self.data}/{run}")
 
     def staged_rows(self, run: str, files: Iterable[str], schema: T.StructType) -> dict[str, int]:
         with_part = T.StructType([*schema.fields, T.StructField("_part", T.StringType())])

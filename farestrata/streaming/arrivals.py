@@ -1,7 +1,8 @@
 """Run the layers whenever new monthly files have arrived.
 
-The stream only notices files; what to load is decided by the ledger, so a file seen twice or rewritten under its
-old name is handled like in a scheduled run.
+The stream only notices new paths; what to load is decided by the ledger, so a file seen twice is loaded once. A file
+rewritten under its old name starts no run by itself: the next run that covers its month, scheduled or started by another file,
+finds it changed and reloads it.
 """
 
 from __future__ import annotations

@@ -93,8 +93,9 @@ def test_gate_stops_at_the_broken_layer(spark, folder, tmp_path):
     assert lake.table("silver.valid").current() and not lake.table("gold.fct_trips").current()
 
 
-def test_many_repeated_groups_take_the_shuffled_way(spark, folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipeline, "BROADCAST_GROUPS", 0)
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_a_hot_group_of_copies_by_either_join(spark, folder, tmp_path, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     lake = pipeline.Lake(spark, f"{tmp_path}/lake")
     same = {"tpep_pickup_datetime": datetime(2025, 1, 2), "tpep_dropoff_datetime": datetime(2025, 1, 3)}
     land(folder, 1, [same] * 5 + [{}])
@@ -105,6 +106,7 @@ def test_many_repeated_groups_take_the_shuffled_way(spark, folder, tmp_path, mon
     assert lake.read("silver.valid").count() == 2
     kept = lake.read("silver.standardized").where("not dq_duplicate").agg(F.min("_file_row_number")).first()[0]
     assert kept == 1
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_arriving_files_run_the_job(spark, folder, tmp_path, monkeypatch):

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from farestrata.functions import whole
 from farestrata.config import Limits
 from farestrata.operators import bronze, silver
 from trips import FILE, GOOD, distinct, raw
@@ -191,3 +192,9 @@ def test_bronze_lineage(spark):
     row = bronze.bronze_trips(raw(spark, {})).first()
     assert row._record_id == hashlib.md5(f"{FILE}-1".encode()).hexdigest()
     assert str(row._source_period) == "2025-03-01"
+
+
+def test_codes_beyond_32_bits_are_unknown_members(spark):
+    row = spark.range(1).selectExpr("5000000000 as code", "5000000000.0D as fraction")
+    wide = row.select(F.col("code").try_cast("int").alias("a"), whole("fraction").alias("b")).first()
+    assert wide.a is None and wide.b is None
