@@ -64,40 +64,70 @@ def row_checks(df: DataFrame, spec: TableChecks) -> DataFrame | None:
     return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
-def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per non-NULL value of the given columns, from one scan: ``column, value``."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*pairs))).where("value is not null")
+def _values(df: DataFrame, typed: Sequence[tuple[str, str]]) -> tuple[DataFrame, list[str]]:
+    """One row per non-NULL value of the given columns, each read as its type, from one scan.
+
+    A row holds the position of the column in ``typed`` and one field per type, filled where that is its type.
+    Also returns the names of these key fields.
+    """
+    kinds = {kind: f"as_{i}" for i, kind in enumerate(dict.fromkeys(kind for _, kind in typed))}
+    entries = [
+        F.struct(F.lit(i).alias("position"), *[
+            (F.col(c) if kind == own else F.lit(None)).cast(kind).alias(name) for kind, name in kinds.items()
+        ])
+        for i, (c, own) in enumerate(typed)
+    ]
+    values = df.select(F.inline(F.array(*entries))).where(
+        reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in kinds.values()])
+    )
+    return values, ["position", *kinds.values()]
+
+
+def _compared_as(child: DataFrame, column: str, parent: DataFrame, key: str) -> str:
+    """The type in which a key is compared with its parent: the wider one of both; text if one of them is text."""
+    own = child.select(F.col(column).alias("k"))
+    other = parent.select(F.col(key).alias("k"))
+    types = {own.dtypes[0][1], other.dtypes[0][1]}
+    if len(types) == 1:
+        return types.pop()
+    return "string" if "string" in types else own.union(other).dtypes[0][1]
 
 
 def unique_checks(df: DataFrame, spec: TableChecks) -> DataFrame | None:
     """Per column, the number of values that occur more than once; NULL is not a value."""
     if not spec.unique:
         return None
-    repeated = _values(df, spec.unique).groupBy("column", "value").agg(F.count("*").alias("n")).where("n > 1")
-    results = [_result("unique", spec.table, c, F.count_if(F.col("column") == c)) for c in spec.unique]
+    values, fields = _values(df, [(c, df.select(c).dtypes[0][1]) for c in spec.unique])
+    repeated = values.groupBy(*fields).agg(F.count("*").alias("n")).where("n > 1")
+    results = [_result("unique", spec.table, c, F.count_if(F.col("position") == i)) for i, c in enumerate(spec.unique)]
     return repeated.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
 def relationship_checks(df: DataFrame, spec: TableChecks, parents: dict[str, DataFrame]) -> DataFrame | None:
     """Per foreign key, the number of rows whose non-NULL key has no parent.
 
-    Rows are counted per key first, so a key held by many rows crosses the network once per task.
+    Rows are counted per key first, so a key held by many rows crosses the network once per task. Keys are compared in
+    the wider type of both sides: 1.0 finds the parent 1, 1.5 doesn't.
     """
     if not spec.relationships:
         return None
-    counted = _values(df, [r.column for r in spec.relationships]).groupBy("column", "value").agg(
-        F.count("*").alias("n")
-    )
+    typed = [(r.column, _compared_as(df, r.column, parents[r.table], r.key)) for r in spec.relationships]
+    values, fields = _values(df, typed)
+    counted = values.groupBy(*fields).agg(F.count("*").alias("n"))
+    kinds = dict.fromkeys(kind for _, kind in typed)
     keys = reduce(DataFrame.union, [
-        parents[r.table].select(F.lit(r.column).alias("column"), F.col(r.key).cast("string").alias("value"))
-        for r in spec.relationships
-    ])
-    orphans = counted.join(keys, ["column", "value"], "left_anti")
+        parents[r.table].select(F.lit(i).alias("position"), *[
+            (F.col(r.key) if kind == own else F.lit(None)).cast(kind).alias(f"parent_{name}")
+            for kind, name in zip(kinds, fields[1:], strict=True)
+        ])
+        for i, (r, (_, own)) in enumerate(zip(spec.relationships, typed, strict=True))
+    ]).withColumnRenamed("position", "parent_position")
+    same = reduce(lambda a, b: a & b, [F.col(f).eqNullSafe(F.col(f"parent_{f}")) for f in fields])
+    orphans = counted.join(keys, same, "left_anti")
     results = [
         _result("relationships", spec.table, r.column,
-                F.coalesce(F.sum(F.when(F.col("column") == r.column, F.col("n"))), F.lit(0)))
-        for r in spec.relationships
+                F.coalesce(F.sum(F.when(F.col("position") == i, F.col("n"))), F.lit(0)))
+        for i, r in enumerate(spec.relationships)
     ]
     return orphans.agg(F.array(*results).alias("results")).select(F.inline("results"))
 

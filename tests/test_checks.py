@@ -44,6 +44,30 @@ def test_relationships_count_rows(spark):
     assert failures(checks.run_checks(child, spec, {"p": parent})) == {("relationships", "n"): 2}
 
 
+def test_keys_are_compared_in_the_wider_type(spark):
+    child = spark.sql("select * from values (1.0D, 'a', 1), (1.5D, 'b', 2), (null, null, null) t(d, s, n)")
+    numbers, letters = spark.sql("select 1 as k"), spark.sql("select 'a' as k")
+    spec = TableChecks("t", relationships=(
+        Relationship("d", "numbers", "k"), Relationship("s", "letters", "k"), Relationship("n", "numbers", "k")
+    ))
+    found = checks.relationship_checks(child, spec, {"numbers": numbers, "letters": letters})
+    assert failures(found) == {("relationships", "d"): 1, ("relationships", "s"): 1, ("relationships", "n"): 1}
+
+
+def test_one_column_with_two_parents(spark):
+    child = spark.sql("select * from values (1), (2), (2) t(n)")
+    spec = TableChecks("t", relationships=(Relationship("n", "a", "k"), Relationship("n", "b", "k")))
+    found = checks.relationship_checks(child, spec, {"a": spark.sql("select 1 as k"), "b": spark.sql("select 2L as k")})
+    assert sorted(r.failures for r in found.collect()) == [1, 2]
+
+
+def test_unique_compares_values_not_their_text(spark):
+    df = spark.sql("select * from values (0.0D, 1), (-0.0D, 2) t(d, n)")
+    assert failures(checks.unique_checks(df, TableChecks("t", unique=("d", "n")))) == {
+        ("unique", "d"): 1, ("unique", "n"): 0
+    }
+
+
 def test_checks_hold_on_empty_tables(spark):
     empty = spark.createDataFrame([], "n int")
     spec = TableChecks("t", not_null=("n",), unique=("n",), relationships=(Relationship("n", "p", "n"),))
