@@ -39,6 +39,7 @@ class Load:
     built_from: str | None
     rows: int
     fields: str
+    committed_at: datetime
 
 
 def new_run() -> str:
@@ -65,8 +66,7 @@ class FileTable:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
-        fields = [f for f in LOADS.names if f != "committed_at"]
-        newest = listed.groupBy("source_file").agg(F.max_by(F.struct(*fields), "committed_at").alias("load"))
+        newest = listed.groupBy("source_file").agg(F.max_by(F.struct(*LOADS.names), "committed_at").alias("load"))
         return {row.source_file: Load(**row.asDict()) for row in newest.select("load.*").collect()}
 
     def stage(self, df: DataFrame, run: str) -> None:
@@ -100,12 +100,15 @@ class FileTable:
         return rows
 
     def read(self, files: Iterable[str] | None = None) -> DataFrame:
-        """Rows in use. Columns that only newer loads have are NULL in the older ones."""
+        """Rows in use. Columns that only newer loads have are NULL in the older ones.
+
+        A column whose type differs between loads is read in the wider type; types that Parquet can't widen are refused.
+        """
         current = self.current()
         if not current:
             raise LookupError(f"{self.data} has not been loaded yet")
         chosen = [current[f] for f in (current if files is None else files) if f in current]
-        schema = _merged(load.fields for load in current.values())
+        schema = _merged(load.fields for load in sorted(current.values(), key=lambda load: load.committed_at))
         folders = [f"{self.data}/{load.load_id}" for load in chosen if load.rows]
         if not folders:
             return self.spark.createDataFrame([], schema)
@@ -116,9 +119,28 @@ def _part(source_file: str) -> str:
     return WHOLE_PART if source_file == WHOLE else source_file.rsplit("/", 1)[-1].replace(".parquet", "")
 
 
+#: Types, narrow first, in whose order Spark reads a column of one type as any later one.
+WIDENINGS = (
+    (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()),
+    (T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()),
+    (T.FloatType(), T.DoubleType()),
+    (T.DateType(), T.TimestampNTZType()),
+)
+
+
+def _wider(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    if a == b:
+        return a
+    for order in WIDENINGS:
+        if a in order and b in order:
+            return max(a, b, key=order.index)
+    raise TypeError(f"column {name} is stored as {a.simpleString()} and as {b.simpleString()}; rebuild the table")
+
+
 def _merged(schemas: Iterable[str]) -> T.StructType:
-    fields: dict[str, T.StructField] = {}
-    for text in sorted(set(schemas), key=len):
+    """Columns of all ``schemas`` in the order in which loads brought them."""
+    fields: dict[str, T.DataType] = {}
+    for text in dict.fromkeys(schemas):
         for field in T.StructType.fromJson(json.loads(text)).fields:
-            fields.setdefault(field.name, T.StructField(field.name, field.dataType))
-    return T.StructType(list(fields.values()))
+            fields[field.name] = _wider(field.name, fields.get(field.name, field.dataType), field.dataType)
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])

@@ -70,3 +70,21 @@ def test_whole_tables(spark, tmp_path):
 def test_append_new_columns_in_memory(spark):
     both = bronze.append_new_columns(rows(spark, (A, 1)), rows(spark, (B, 2)).withColumn("fee", F.lit(0.5)))
     assert both.columns == ["_source_file", "n", "fee"] and both.where("fee is null").count() == 1
+
+
+def test_type_of_a_column_is_widened_whatever_the_order_of_loads(spark, tmp_path):
+    for i, (first, second) in enumerate([("1", "2L"), ("1L", "2"), ("cast(1 as float)", "2.0D"), ("1", "2.0D")]):
+        table = FileTable(spark, f"{tmp_path}/{i}")
+        table.replace(spark.sql(f"select {first} as n, 'a.parquet' as _source_file"), ["a.parquet"])
+        table.replace(spark.sql(f"select {second} as n, 'b' as extra, 'b.parquet' as _source_file"), ["b.parquet"])
+        read = table.read()
+        assert read.columns == ["n", "_source_file", "extra"]
+        assert sorted(r.n for r in read.collect()) == [1, 2]
+
+
+def test_types_that_cannot_be_widened_are_refused(spark, tmp_path):
+    table = FileTable(spark, str(tmp_path))
+    table.replace(spark.sql("select 1L as n, 'a.parquet' as _source_file"), ["a.parquet"])
+    table.replace(spark.sql("select 2.5D as n, 'b.parquet' as _source_file"), ["b.parquet"])
+    with pytest.raises(TypeError, match="column n"):
+        table.read()
