@@ -7,8 +7,9 @@ range is sorted and swept once: a stack holds the rules whose intervals are open
 the open rules whether its path starts with theirs. The longest rule wins (by the characters of host and path, then
 by host); of equal rules a block wins.
 
-Ranges are cut by url key, path and id, at quantiles of a bounded set of urls, so one host with very many urls
-spreads over many ranges. The set decides where ranges end, never what a url gets.
+Ranges are cut by url key and a hash of path and id, at quantiles of some urls, so one host with very many urls
+spreads over many ranges. There are ``MOST_RANGES`` ranges at most and ``LOOKED_AT`` urls each to place them, so what the driver
+sees is bounded; larger ranges only sort more. The cuts decide where ranges end, never what a url gets.
 
 Urls that are NULL or have no ``://`` have an empty host and path, which only a rule with an empty host and path could fit.
 Rows that repeat are judged alike. NULL rules or rules without a host are refused. Other columns are ignored.
@@ -27,9 +28,13 @@ from farestrata.llm.common import map_rows, stored
 
 URL = re.compile(r"^.*?://([^/?#]*)([^?#]*)", re.S)
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Urls in one range, about, and urls per range looked at to place the cuts.
+#: Urls in one range, about; the number of ranges at any size; urls per range looked at to place the cuts.
 RANGE_ROWS = 50_000
-LOOKED_AT = 100
+MOST_RANGES = 10_000
+LOOKED_AT = 40
+#: Keys longer than any valid host don't place cuts (they are judged like all others).
+LONGEST_CUT = 256
+FIRST_MIX = -(1 << 63)
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -100,22 +105,25 @@ def judge_urls(
             hosts = [p[0] for p in parts]
             yield ids, [str(i) for i in ids], [reversed_key(h) for h in hosts], hosts, [p[1] for p in parts]
 
+    split = map_rows(urls.select(id_col, url_col), keyed, f"id {kind}, tie string, key string, host string, path string")
     rows = stored(
-        map_rows(urls.select(id_col, url_col), keyed, f"id {kind}, tie string, key string, host string, path string"),
-        "url-keys",
+        split.select("id", F.xxhash64("path", "tie").alias("mix"), "key", "host", "path"), "url-keys"
     )
     total = rows.count()
-    ranges = max(1, -(-total // range_rows))
+    ranges = min(MOST_RANGES, max(1, -(-total // range_rows)))
     chance = min(1.0, LOOKED_AT * ranges / max(total, 1))
-    seen = rows.where(F.pmod(F.xxhash64("tie", "key", "path"), F.lit(1 << 30)) < int(chance * (1 << 30)) + 1)
-    # at most about LOOKED_AT short keys per range
-    points = sorted((r.key, r.path, r.tie) for r in seen.select("key", "path", "tie").collect()) if ranges > 1 else []
+    seen = rows.where(
+        (F.pmod(F.xxhash64(F.lit(1), "mix", "key"), F.lit(1 << 30)) < int(chance * (1 << 30)) + 1)
+        & (F.length("key") <= LONGEST_CUT)
+    )
+    # about LOOKED_AT short keys for each of at most MOST_RANGES ranges
+    points = sorted((r.key, r.mix) for r in seen.select("key", "mix").collect()) if ranges > 1 else []
     cuts = sorted({points[i * len(points) // ranges] for i in range(1, ranges)}) if points else []
     keys = [c[0] for c in cuts]
 
     def url_rows(batches) -> Iterator:
-        for ids, ties, key, hosts, paths in batches:
-            at = [bisect_right(cuts, point) for point in zip(key, paths, ties, strict=True)]
+        for ids, mixes, key, hosts, paths in batches:
+            at = [bisect_right(cuts, point) for point in zip(key, mixes, strict=True)]
             none = [None] * len(ids)
             yield at, key, [1] * len(ids), ids, hosts, paths, none
 
@@ -127,7 +135,7 @@ def judge_urls(
                     raise ValueError(f"not a rule: {host!r}, {path!r}, {verdict!r}")
                 host = host.translate(LOWER)
                 key = reversed_key(host)
-                first = bisect_right(cuts, (key, "", ""))
+                first = bisect_right(cuts, (key, FIRST_MIX))
                 last = bisect_right(keys, _after(key))
                 for at in range(first, last + 1):
                     for column, value in zip(out, (at, key, 0, None, host, path, verdict), strict=True):
