@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,19 +26,41 @@ def digest(text_col: str):
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
 
 
+LAYOUT = "buckets int, id_type string"
+
+
 class DigestIndex:
-    """The index in ``folder``, opened under a name of its own in the session."""
+    """The index in ``folder``, opened under a name of its own in the session.
 
-    def __init__(self, spark: SparkSession, folder: str, id_type: str = "bigint", buckets: int | None = None):
+    The number of buckets and the type of ids are kept with the index, so a later session with other settings opens it as it
+    was made; asking for others is refused.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, id_type: str | None = None, buckets: int | None = None):
         self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        made = self._layout(folder)
+        if made is None:
+            made = (buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), id_type or "bigint")
+            spark.createDataFrame([made], LAYOUT).coalesce(1).write.json(f"{folder}/layout")
+        elif (buckets or made[0], id_type or made[1]) != made:
+            raise ValueError(f"the index has {made[0]} buckets and ids of type {made[1]}")
+        self.buckets, kept_type = made
         self.name = f"digest_index_{uuid.uuid4().hex}"
-        place = folder.replace("'", "\\'")
+        place = f"{folder}/data".replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {self.name} (text_sha256 STRING, keep_id {id_type}) USING parquet "
+            f"CREATE TABLE {self.name} (text_sha256 STRING, keep_id {kept_type}) USING parquet "
             f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
 
+    def _layout(self, folder: str) -> tuple[int, str] | None:
+        try:
+            found = self.spark.read.schema(LAYOUT).json(f"{folder}/layout").first()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return tuple(found) if found else None
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
