@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farestrata.llm.common import held_out, keep_batches_small, map_rows, stored
+from farestrata.llm.common import held_out, keep_batches_small, map_rows, ship, stored
 
 MOST_TOXIC = 4_000
 MOST_OPEN = 12_000
@@ -188,6 +188,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more; one pass, no shuffle, all columns as they are."""
+    ship(docs.sparkSession)
     keep_batches_small(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

@@ -81,6 +81,14 @@ def test_url_rules_against_all_pairs(spark, range_rows):
         (i, *expected(u)) for i, u, _ in urls)
 
 
+def test_ranges_are_bounded_and_hosts_of_any_length_are_judged(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "MOST_RANGES", 3)
+    urls = [(i, f"http://{'l' * (300 if i % 2 else 3)}.net/es/{i}") for i in range(400)] + [(None, "http://net/es/")] * 2
+    known = spark.createDataFrame([("net", "/es/", "block")], "host string, path string, verdict string")
+    found = url_filters.judge_urls(spark.createDataFrame(urls, "page_id bigint, url string"), known, range_rows=2).collect()
+    assert len(found) == 402 and {(r.rule, r.verdict) for r in found} == {("net/es/", "block")}
+
+
 def test_url_rules_must_be_whole(spark):
     frame = spark.createDataFrame([(1, "http://a.com/")], "page_id bigint, url string")
     broken = spark.createDataFrame([(None, "/", "block")], "host string, path string, verdict string")
@@ -175,6 +183,8 @@ def test_clean_documents_keep_their_columns(spark, odd):
     learnt = toxicity.Model(["word"], np.array([[9.0]]), np.array([-3.0]))
     kept = toxicity.keep_clean(odd, learnt)
     assert kept.columns == odd.columns and set(rows(kept)) == {i for i, _ in ODD} - {10}
+    # a model without labels keeps everything
+    assert toxicity.keep_clean(odd, toxicity.Model([], np.zeros((0, 0)), np.zeros(0))).count() == len(ODD)
 
 
 def test_risk_is_never_driven_below_zero():
@@ -197,7 +207,10 @@ def test_index_over_batches(spark, odd, nothing):
     assert found[0].text_sha256 == hashlib.sha256(b"").hexdigest()
     assert rows(exact_dedup.judge(odd, index)) == found  # entered again after a failure
     index.close()
-    again = exact_dedup.DigestIndex(spark, folder, buckets=3)
+    with pytest.raises(ValueError, match="3 buckets"):
+        exact_dedup.DigestIndex(spark, folder, buckets=4)
+    again = exact_dedup.DigestIndex(spark, folder)  # the session's number of partitions is another
+    assert again.buckets == 3
     later = rows(exact_dedup.judge(docs(spark, [(100, "same words here"), (101, "new"), (None, "new")]), again))
     assert later[100].keep_id == 4 and not later[100].kept and later[101].kept and not later[None].kept
     assert exact_dedup.judge(nothing, again).count() == 0
