@@ -32,7 +32,7 @@ from farestrata.llm.common import WORD, drop_losers, map_rows, stored
 BITS = 64
 SEED = 42
 #: Fingerprints with one block value above which the block's group is divided by trie nodes.
-CROWD = 20_000
+CROWD = 200_000
 #: Trie levels by which a crowded group is divided.
 DIVIDE = 8
 #: A pair of nodes with no more leaf pairs than this is compared leaf by leaf.
