@@ -16,7 +16,7 @@ from farestrata.config import FAILED, LOADED, NOT_AVAILABLE, SKIPPED, TRIP_COLUM
 from farestrata.functions import base_name, period_of_file
 from farestrata.operators import bronze, checks, gold, ledger, marts, silver
 from farestrata.operators.checks import Relationship, TableChecks
-from farestrata.plans import bridge
+from farestrata.plans import bridge, pipeline
 from farestrata.sources.tables import FileTable, new_run
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -500,15 +500,53 @@ def ledger_upsert(data: Inputs) -> DataFrame:
 @query
 def incremental_replace(data: Inputs) -> DataFrame:
     """Store all files, then reload March with other amounts and June without any row, and read back."""
-    rows = data.raw.select("_source_file", "_file_row_number", "total_amount", "_loaded_at")
-    names = [row[0] for row in rows.select("_source_file").distinct().collect()]  # one per month
-    changed = [name for name in names if name[-11:] in ("-03.parquet", "-06.parquet")]
     table = FileTable(data.spark, f"{session.shared_folder(data.spark)}/incremental-{new_run()}")
-    # rows arrive mixed; gather each file into pieces of bounded size instead of one piece per task
-    table.replace(rows.hint("rebalance", "_source_file"), names)
-    march = rows.where(_file_of(3)).withColumns({
+    table.replace(data.raw)
+    reload_march(table)
+    return table.read()
+
+
+def reload_march(table: FileTable) -> None:
+    """March comes again with other amounts, June without any row; both from the stored rows."""
+    again = [name for name in table.current() if name[-11:] in ("-03.parquet", "-06.parquet")]
+    march = table.read(again).where(_file_of(3)).withColumns({
         "total_amount": F.col("total_amount") + 1,
         "_loaded_at": F.col("_loaded_at") + F.expr("interval 30 days"),
     })
-    table.replace(march.hint("rebalance", "_source_file"), changed)
-    return table.read()
+    table.replace(march, again)
+
+
+def stored_layers(data: Inputs) -> pipeline.Lake:
+    """Raw, bronze, silver and gold as stored tables, built from all files."""
+    lake = pipeline.Lake(data.spark, f"{session.shared_folder(data.spark)}/layers-{new_run()}")
+    lake.table("raw.trips").replace(data.raw)
+    lake.table("raw.zones").replace(
+        bridge.raw_zones(data.spark, data.sf_dir).withColumns({
+            "_source_file": F.lit("zones"), "_loaded_at": F.current_timestamp(),
+        })
+    )
+    build_layers(lake)
+    return lake
+
+
+def build_layers(lake: pipeline.Lake, full_refresh: bool = False) -> None:
+    for build in pipeline.BUILDERS.values():
+        build(lake, full_refresh)
+
+
+@query
+def layered_reload(data: Inputs) -> DataFrame:
+    """The fact after all files were stored layer by layer, and March and June were loaded again."""
+    lake = stored_layers(data)
+    reload_march(lake.table("raw.trips"))
+    build_layers(lake)
+    return lake.read("gold.fct_trips")
+
+
+@query
+def layered_full_refresh(data: Inputs) -> DataFrame:
+    """The fact after the limits were lowered and all layers were built anew from the stored raw rows."""
+    lake = stored_layers(data)
+    lake.limits = Limits(max_trip_miles=100)
+    build_layers(lake, full_refresh=True)
+    return lake.read("gold.fct_trips")

@@ -264,20 +264,20 @@ CTES = {
 }
 
 
-def _query(select: str) -> str:
+def _query(select: str, ctes: dict[str, str] = CTES) -> str:
     """Prefix the select with the common table expressions it needs, in order."""
     needed: set[str] = set()
 
     def visit(text: str) -> None:
-        for name in CTES:
+        for name in ctes:
             if name not in needed and re.search(rf"\b(?:from|join)\s+{name}\b", text):
                 needed.add(name)
-                visit(CTES[name])
+                visit(ctes[name])
 
     visit(select)
     if not needed:
         return select
-    return "with " + ",\n".join(f"{n} as materialized ({CTES[n]})" for n in CTES if n in needed) + "\n" + select
+    return "with " + ",\n".join(f"{n} as materialized ({ctes[n]})" for n in ctes if n in needed) + "\n" + select
 
 
 def _doubles(columns: list[str]) -> str:
@@ -326,6 +326,11 @@ def _file_of(*months: int) -> str:
     return " or ".join(f"_source_file like '%-{m:02d}.parquet'" for m in months)
 
 
+_RELOADED = f"""
+    select * replace (total_amount + if({_file_of(3)}, 1, 0) as total_amount,
+      _loaded_at + if({_file_of(3)}, interval 30 days, interval 0 days) as _loaded_at)
+    from {{source}} where not ({_file_of(6)})"""
+
 QUERIES = {
     "bronze_trips": "select * from bronze",
     "append_new_columns": """
@@ -480,12 +485,26 @@ QUERIES = {
         from entries e left join ledger l using (source_file)
         union all by name
         select * from ledger where source_file not in (select source_file from entries)""",
-    "incremental_replace": f"""
-        select _source_file, _file_row_number, total_amount + if({_file_of(3)}, 1, 0) as total_amount,
-          _loaded_at + if({_file_of(3)}, interval 30 days, interval 0 days) as _loaded_at
-        from raw where not ({_file_of(6)})""",
+    "incremental_replace": _RELOADED.format(source="raw"),
+    "layered_reload": f"select {_doubles(_FACT)} from fact",
+    "layered_full_refresh": f"select {_doubles(_FACT)} from fact",
+}
+
+#: Steps that differ in one query.
+OTHER_STEPS = {
+    "layered_reload": {"landed": CTES["raw"], "raw": _RELOADED.format(source="landed")},
+    "layered_full_refresh": {"flagged": CTES["flagged"].replace("not between 0 and 200", "not between 0 and 100")},
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _query(select) for name, select in QUERIES.items()}
+    found = {}
+    for name, select in QUERIES.items():
+        changed = OTHER_STEPS.get(name, {})
+        steps = {}
+        for step, text in CTES.items():
+            if step == "raw" and "landed" in changed:
+                steps["landed"] = changed["landed"]
+            steps[step] = changed.get(step, text)
+        found[name] = _query(select, steps)
+    return found

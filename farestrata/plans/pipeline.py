@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -32,6 +34,7 @@ from farestrata.sources import landing
 from farestrata.sources.tables import FileTable, new_run
 
 PARALLEL = 4
+log = logging.getLogger(__name__)
 
 WHOLE_TABLES = (
     "raw.zones", "raw.ledger", "bronze.zones", "silver.zones", "silver.vendors", "silver.rate_codes",
@@ -66,6 +69,8 @@ class Lake:
     root: str
     limits: Limits = Limits()
     calendar: Calendar = Calendar()
+    #: folder of CSV code tables to use instead of the built-in ones
+    code_tables: str | None = None
 
     def table(self, name: str) -> FileTable:
         layer, table = name.split(".")
@@ -96,18 +101,46 @@ class Lake:
         )
 
     def ledger(self) -> DataFrame:
-        if not self.table("raw.ledger").current():
-            return self.spark.createDataFrame([], schemas.LEDGER)
-        return self.read("raw.ledger")
+        """One row per file seen so far.
+
+        The row of a loaded file is committed with its rows, as their note. It counts from then on, also if the run ended
+        before it could bring the ledger table up to date.
+        """
+        if self.table("raw.ledger").current():
+            recorded = self.read("raw.ledger")
+        else:
+            recorded = self.spark.createDataFrame([], schemas.LEDGER)
+        loads = [*self.table("raw.trips").current().values(), *self.table("raw.zones").current().values()]
+        noted = [_entry(load.note) for load in loads if load.note]
+        known = recorded.select("source_file", F.col("updated_at").alias("recorded_at"))
+        newer = (
+            self.spark.createDataFrame(noted, schemas.LEDGER).join(known, "source_file", "left")
+            .where(F.col("recorded_at").isNull() | (F.col("updated_at") > F.col("recorded_at")))
+            .drop("recorded_at")
+        )
+        return ledger.upsert(recorded, newer)
 
     def record(self, entries: list[dict]) -> None:
-        """Bring ledger rows up to date; one entry per file of this run."""
+        """Bring the ledger table up to date with what was committed, and with ``entries`` on files that weren't."""
         new = self.spark.createDataFrame(
             [{name: entry.get(name) for name in schemas.LEDGER.names} for entry in entries], schemas.LEDGER
         )
         self.table("raw.ledger").replace(ledger.upsert(self.ledger(), new).coalesce(1))
 
 
+def _note(entry: dict) -> str:
+    return json.dumps(entry, default=str)
+
+
+def _entry(note: str) -> dict:
+    """A ledger entry from the note that keeps it."""
+    entry = json.loads(note)
+    if entry.get("source_period"):
+        entry["source_period"] = date.fromisoformat(entry["source_period"])
+    entry["updated_at"] = datetime.fromisoformat(entry["updated_at"])
+    return {name: entry.get(name) for name in schemas.LEDGER.names}
+
+
 # --- raw --------------------------------------------------------------------------------------------------
 
 
@@ -126,8 +159,20 @@ def plan_loads(lake: Lake, source: str, start: str, end: str, force: bool = Fals
     )
 
 
-def _load_file(lake: Lake, source: str, file_name: str, loaded_at: datetime) -> tuple[int, list[str]]:
-    """Replace the raw rows of one file; the rows written must be the rows of the file."""
+def drift_message(columns: list[str]) -> str:
+    """``ok``, and the columns that are missing or unexpected, if any."""
+    named: dict[str, list[str]] = {}
+    for column, state in bronze.schema_drift(columns):
+        named.setdefault(state, []).append(column)
+    return "; ".join(["ok", *(f"{state}: {', '.join(sorted(found))}" for state, found in sorted(named.items()))])
+
+
+def _load_file(lake: Lake, source: str, entry: dict, loaded_at: datetime) -> dict:
+    """Replace the raw rows of one file; the rows written must be the rows of the file.
+
+    The ledger entry, completed here, becomes current in the same commit as the rows.
+    """
+    file_name = entry["source_file"]
     landed = landing.open_trips(lake.spark, source, file_name)
     table, run, key = lake.table("raw.trips"), new_run(), f"{TRIPS_FOLDER}/{file_name}"
     rows = landing.scan_trips(landed, loaded_at)
@@ -136,8 +181,17 @@ def _load_file(lake: Lake, source: str, file_name: str, loaded_at: datetime) ->
     expected = landed.count()
     if staged[key] != expected:
         raise RuntimeError(f"{staged[key]} rows were written but the file has {expected}")
-    table.commit(run, staged, rows.schema)
-    return expected, landed.columns
+    entry = entry | {
+        "status": LOADED,
+        "message": drift_message(landed.columns),
+        "file_rows": expected,
+        "rows_loaded": expected,
+        "source_columns": ",".join(landed.columns),
+    }
+    if entry["message"] != "ok":
+        log.warning("%s: %s", file_name, entry["message"])
+    table.commit(run, staged, rows.schema, notes={key: _note(entry)})
+    return entry
 
 
 def load_trips(
@@ -171,29 +225,20 @@ def load_trips(
             "source_last_modified": published[row.source_file].source_last_modified,
         }
         try:
-            rows, columns = _load_file(lake, source, row.source_file, loaded_at)
+            entry = _load_file(lake, source, entry, loaded_at)
         except Exception as error:
             message = str(error)[:MESSAGE_LIMIT]
             return (
                 FileResult(row.source_file, row.source_period, FAILED, 0, message),
                 entry | {"status": FAILED, "message": message},
             )
-        return (
-            FileResult(row.source_file, row.source_period, LOADED, rows),
-            entry | {
-                "status": LOADED,
-                "message": "ok",
-                "file_rows": rows,
-                "rows_loaded": rows,
-                "source_columns": ",".join(columns),
-            },
-        )
+        return FileResult(row.source_file, row.source_period, LOADED, entry["rows_loaded"], entry["message"]), entry
 
     with ThreadPoolExecutor(PARALLEL) as pool:
         outcomes = list(pool.map(inheritable_thread_target(attempt), plan))
     entries = [entry for _, entry in outcomes if entry]
     if entries:
-        lake.record(entries)
+        lake.record([entry for entry in entries if entry["status"] != LOADED])
     results = [result for result, _ in outcomes]
     summary = summarize(lake.spark, results).first()
     unmet = {FAILED: summary.months_failed, NOT_AVAILABLE: summary.months_not_available if fail_on_missing else 0}
@@ -218,16 +263,23 @@ def load_zones(lake: Lake, source: str) -> int:
     expected = rows.count()
     if staged["*"] != expected:
         raise RuntimeError(f"{staged['*']} zones were written but the file has {expected}")
-    table.commit(run, staged, rows.schema)
-    lake.record([{
+    published = landing.zones_inventory(lake.spark, source).first()
+    entry = {
         "source_file": ZONES_FILE,
         "dataset": ZONES_DATASET,
+        "source_url": landing.zones_path(source),
+        "etag": published.etag,
+        "content_length": published.content_length,
+        "source_last_modified": published.source_last_modified,
         "file_rows": expected,
         "rows_loaded": expected,
+        "source_columns": ",".join(schemas.ZONE_FILE.names),
         "status": LOADED,
         "message": "ok",
         "updated_at": loaded_at,
-    }])
+    }
+    table.commit(run, staged, rows.schema, notes={"*": _note(entry)})
+    lake.record([])
     return expected
 
 
@@ -271,10 +323,8 @@ def build_bronze(lake: Lake, full_refresh: bool = False) -> None:
 def build_silver(lake: Lake, full_refresh: bool = False) -> None:
     rebuild(
         lake,
-        silver__vendors=refs.vendors(lake.spark),
-        silver__rate_codes=refs.rate_codes(lake.spark),
-        silver__payment_types=refs.payment_types(lake.spark),
         silver__zones=silver.clean_zones(lake.read("bronze.zones")),
+        **{f"silver__{name}": table for name, table in refs.code_tables(lake.spark, lake.code_tables).items()},
     )
     build_changed(lake, "silver.standardized", "bronze.trips", lambda b: judged_trips(lake, b), full_refresh)
     build_changed(lake, "silver.valid", "silver.standardized", silver.valid_trips, full_refresh)

@@ -78,19 +78,20 @@ def payment_types(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, PAYMENT_TYPES, schemas.PAYMENT_TYPES)
 
 
-def from_csv(spark: SparkSession, folder: str, zones: DataFrame) -> References:
-    """Read user-maintained code tables instead of the built-in ones."""
+def code_tables(spark: SparkSession, folder: str | None = None) -> dict[str, DataFrame]:
+    """The built-in code tables, or those that a user maintains as CSV files with a header in ``folder``."""
+    if folder is None:
+        return {"vendors": vendors(spark), "rate_codes": rate_codes(spark), "payment_types": payment_types(spark)}
 
-    def read(name, schema):
-        return spark.read.schema(schema).option("header", True).csv(f"{folder}/{name}.csv")
+    def read(name: str, schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(f"{folder}/{name}.csv")
 
-    return References(
-        vendors=read("ref_vendor", schemas.VENDORS),
-        rate_codes=read("ref_rate_code", schemas.RATE_CODES),
-        payment_types=read("ref_payment_type", schemas.PAYMENT_TYPES),
-        zones=zones,
-    )
+    return {
+        "vendors": read("ref_vendor", schemas.VENDORS),
+        "rate_codes": read("ref_rate_code", schemas.RATE_CODES),
+        "payment_types": read("ref_payment_type", schemas.PAYMENT_TYPES),
+    }
 
 
 def builtin(spark: SparkSession, zones: DataFrame) -> References:
-    return References(vendors(spark), rate_codes(spark), payment_types(spark), zones)
+    return References(**code_tables(spark), zones=zones)

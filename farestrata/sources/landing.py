@@ -21,12 +21,20 @@ def trips_path(landing: str, file_name: str) -> str:
 
 def inventory(spark: SparkSession, landing: str) -> DataFrame:
     """Published trip files with size and fingerprint; lists the folder, opens no file."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{TRIP_FILE_PREFIX}*.parquet")
-        .load(f"{landing}/{TRIPS_FOLDER}")
-        .drop("content")
-    )
+    return _listed(spark, f"{landing}/{TRIPS_FOLDER}", f"{TRIP_FILE_PREFIX}*.parquet")
+
+
+def zones_path(landing: str) -> str:
+    return f"{landing}/{ZONES_FOLDER}/{ZONES_FILE}"
+
+
+def zones_inventory(spark: SparkSession, landing: str) -> DataFrame:
+    """The published zone lookup in the same form."""
+    return _listed(spark, f"{landing}/{ZONES_FOLDER}", ZONES_FILE)
+
+
+def _listed(spark: SparkSession, folder: str, names: str) -> DataFrame:
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder).drop("content")
     modified = F.unix_micros("modificationTime").cast("string")
     return listed.select(
         base_name("path").alias("source_file"),
@@ -55,11 +63,10 @@ def scan_trips(landed: DataFrame, loaded_at: datetime) -> DataFrame:
 
 def scan_zones(spark: SparkSession, landing: str, loaded_at: datetime) -> DataFrame:
     """Zone lookup by column position, header skipped, fields optionally quoted."""
-    path = f"{landing}/{ZONES_FOLDER}/{ZONES_FILE}"
     rows = (
         spark.read.schema(schemas.ZONE_FILE)
         .options(header=True, quote='"', enforceSchema=True, mode="FAILFAST")
-        .csv(path)
+        .csv(zones_path(landing))
     )
     return rows.select(
         *schemas.ZONE_FILE.names,

@@ -27,6 +27,7 @@ LOADS = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("fields", T.StringType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("note", T.StringType()),
 ])
 WHOLE = "*"
 WHOLE_PART = "whole"
@@ -40,6 +41,7 @@ class Load:
     rows: int
     fields: str
     committed_at: datetime
+    note: str | None = None
 
 
 def new_run() -> str:
@@ -81,21 +83,38 @@ class FileTable:
         counted = {row["_part"]: row["count"] for row in written.groupBy("_part").count().collect()}
         return {f: counted.get(_part(f), 0) for f in files}
 
+    def staged_files(self, run: str, schema: T.StructType) -> dict[str, int]:
+        """Rows per source file that the run wrote."""
+        written = self.spark.read.schema(schema).parquet(f"{self.data}/{run}")
+        return {row["_source_file"]: row["count"] for row in written.groupBy("_source_file").count().collect()}
+
     def commit(
-        self, run: str, rows: dict[str, int], schema: T.StructType, built_from: dict[str, str] | None = None
+        self,
+        run: str,
+        rows: dict[str, int],
+        schema: T.StructType,
+        built_from: dict[str, str] | None = None,
+        notes: dict[str, str] | None = None,
     ) -> None:
+        """Make the rows of a run the current ones; a file's note becomes current with them."""
         now = datetime.now(UTC)
-        entries = [(f, f"{run}/_part={_part(f)}", (built_from or {}).get(f), n, schema.json(), now)
+        entries = [(f, f"{run}/_part={_part(f)}", (built_from or {}).get(f), n, schema.json(), now, (notes or {}).get(f))
                    for f, n in rows.items()]
         self.spark.createDataFrame(entries, LOADS).coalesce(1).write.parquet(f"{self.loads}/{run}")
 
     def replace(
-        self, df: DataFrame, files: Iterable[str] = (WHOLE,), built_from: dict[str, str] | None = None
+        self, df: DataFrame, files: Iterable[str] | None = None, built_from: dict[str, str] | None = None
     ) -> dict[str, int]:
-        """Replace the rows of ``files`` by ``df``; a file without rows in ``df`` becomes empty."""
+        """Replace the rows of ``files`` by ``df``; a file without rows in ``df`` becomes empty.
+
+        Without ``files`` it is the files that ``df`` has rows of, or the whole table.
+        """
         run = new_run()
         self.stage(df, run)
-        rows = self.staged_rows(run, files, df.schema)
+        if files is None and not self.whole:
+            rows = self.staged_files(run, df.schema)
+        else:
+            rows = self.staged_rows(run, files or (WHOLE,), df.schema)
         self.commit(run, rows, df.schema, built_from)
         return rows
 
