@@ -118,3 +118,48 @@ def test_arriving_files_run_the_job(spark, folder, tmp_path, monkeypatch):
         arrivals.follow(lake, str(folder), f"{tmp_path}/seen").awaitTermination()
     arrivals.follow(lake, str(folder), f"{tmp_path}/seen").awaitTermination()
     assert runs == [("2025-01", "2025-01"), ("2025-02", "2025-02")]
+
+
+def test_a_run_that_ends_between_two_files_keeps_the_first(spark, folder, tmp_path, monkeypatch):
+    lake = pipeline.Lake(spark, f"{tmp_path}/lake")
+    path = land(folder, 1, [{}, {}])
+    landed = pq.read_table(path)
+    pq.write_table(landed.drop_columns(["airport_fee"]).append_column("new_one", landed["extra"]), path)
+    land(folder, 2, [{}])
+    opened = pipeline.landing.open_trips
+
+    def stop_at_february(spark, source, file_name):
+        if "-02" in file_name:
+            raise KeyboardInterrupt
+        return opened(spark, source, file_name)
+
+    with monkeypatch.context() as broken, pytest.raises(KeyboardInterrupt):
+        broken.setattr(pipeline.landing, "open_trips", stop_at_february)
+        pipeline.load_trips(lake, str(folder), "2025-01", "2025-02")
+    assert not lake.table("raw.ledger").current()
+    assert lake.ledger().first().message == "ok; missing: airport_fee; unexpected: new_one"
+
+    results = pipeline.load_trips(lake, str(folder), "2025-01", "2025-02")
+    assert [(r.status, r.rows) for r in results] == [("SKIPPED", 2), ("LOADED", 1)]
+    pipeline.load_zones(lake, str(folder))
+    entries = {r.source_file[-11:]: r for r in lake.ledger().collect()}
+    assert {name: r.attempts for name, r in entries.items()} == {"-01.parquet": 1, "-02.parquet": 1, "_lookup.csv": 1}
+    zone = entries["_lookup.csv"]
+    assert zone.source_url.endswith("zones/taxi_zone_lookup.csv") and zone.etag and zone.source_last_modified
+    assert zone.content_length == (folder / "zones/taxi_zone_lookup.csv").stat().st_size
+
+
+def test_code_tables_of_the_user(spark, folder, tmp_path, monkeypatch):
+    for name, text in {
+        "ref_vendor": "vendor_id,vendor_name\n1,One\n-1,Unknown\n",
+        "ref_rate_code": "rate_code_id,rate_code_name,rate_code_description_es\n1,Standard,Normal\n99,Unknown,Desconocido\n",
+        "ref_payment_type": "payment_type_id,payment_type_name,payment_type_description_es\n5,Unknown,Desconocido\n",
+    }.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    lake = pipeline.Lake(spark, f"{tmp_path}/lake", code_tables=str(tmp_path))
+    pipeline.load_zones(lake, str(folder))
+    monkeypatch.setattr(pipeline, "build_changed", lambda *_: [])
+    pipeline.build_bronze(lake)
+    pipeline.build_silver(lake)
+    assert sorted(map(tuple, lake.read("silver.vendors").collect())) == [(-1, "Unknown"), (1, "One")]
+    assert lake.references().rate_codes.count() == 2 and lake.references().payment_types.count() == 1
