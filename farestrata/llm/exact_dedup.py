@@ -41,7 +41,8 @@ class DigestIndex:
         made = self._layout(folder)
         if made is None:
             made = (buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), id_type or "bigint")
-            spark.createDataFrame([made], LAYOUT).coalesce(1).write.json(f"{folder}/layout")
+            layout = F.lit(made[0]).alias("buckets"), F.lit(made[1]).alias("id_type")
+            spark.range(1, numPartitions=1).select(*layout).write.json(f"{folder}/layout")
         elif (buckets or made[0], id_type or made[1]) != made:
             raise ValueError(f"the index has {made[0]} buckets and ids of type {made[1]}")
         self.buckets, kept_type = made
