@@ -14,20 +14,23 @@ bits name the trie nodes of one level, and every pair of nodes within the budget
 group), so links grow with fingerprints, not with pairs. Large-star and small-star rounds on stored tables turn links into components.
 
 NULL and empty texts have the zero fingerprint. Repeated rows share fingerprint and component. NULL ids get a
-component like others; a component of NULL ids alone has the id NULL. Other columns are ignored.
+component like others; a component of NULL ids alone has the id NULL. Other columns are ignored. :func:`keep_first` tells
+rows by id and text digest, so what it drops never depends on an id that other texts have too.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farestrata.llm.common import WORD, drop_losers, map_rows, stored
+from farestrata.llm.exact_dedup import digest
 
 BITS = 64
 SEED = 42
@@ -58,14 +61,21 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp``: the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", digests: bool = False
+) -> DataFrame:
+    """``id, fp``: the fingerprint as a signed long; with ``digests`` also ``text_sha256``."""
+    more = [digest(text_col).alias("text_sha256")] if digests else []
+
     def run(batches) -> Iterator:
-        for keys, texts in batches:
+        for keys, texts, *rest in batches:
             found = np.array([fingerprint(text, size) for text in texts], np.uint64)
-            yield keys, found.view(np.int64).tolist()
+            yield keys, found.view(np.int64).tolist(), *rest
 
-    return map_rows(docs.select(id_col, text_col), run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, fp bigint")
+    kind = dict(docs.dtypes)[id_col]
+    return map_rows(
+        docs.select(id_col, text_col, *more), run, f"`{id_col}` {kind}, fp bigint" + ", text_sha256 string" * digests
+    )
 
 
 # --- the trie, inside one task ------------------------------------------------------------------------------
@@ -270,24 +280,45 @@ def components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
+def _least_of_components(printed: DataFrame, value: Column, k: int) -> DataFrame:
+    """``own_fp, least``: for every fingerprint of ``printed`` the least ``value`` in its component."""
+    smallest = stored(printed.groupBy("fp").agg(F.min(value).alias("first")), "simhash-distinct")
+    found = components(links(smallest.select("fp"), k))
+    rooted = smallest.join(found, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    rooted = stored(rooted, "simhash-rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return stored(rooted.join(least, "root").select(F.col("fp").alias("own_fp"), "least"), "simhash-components")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 3, k: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``id, fp, component_id``: the smallest id of all documents linked directly or through others."""
     printed = stored(fingerprints(docs, size, id_col, text_col), "simhash-fingerprints")
-    smallest = stored(printed.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-distinct")
-    found = components(links(smallest.select("fp"), k))
-    rooted = smallest.join(found, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = stored(rooted, "simhash-rooted")
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labelled = stored(rooted.join(ids, "root").select(F.col("fp").alias("own_fp"), "component_id"), "simhash-components")
-    return printed.join(labelled, F.col("fp") == F.col("own_fp")).select(id_col, "fp", "component_id")
+    labelled = _least_of_components(printed, F.col(id_col), k)
+    return printed.join(labelled, F.col("fp") == F.col("own_fp")).select(id_col, "fp", F.col("least").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = 3, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; rows repeating an id stay together."""
-    found = near_duplicates(docs, size, k, id_col, text_col)
-    losers = stored(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col), "simhash-losers")
-    return drop_losers(docs, losers, {id_col: F.col(id_col)})
+    """``docs`` with one document of each component.
+
+    It is the one with the smallest id, NULL last, and of rows that share this id the one with the smallest text digest; of rows
+    that repeat both, one stays.
+    """
+    printed = stored(fingerprints(docs, size, id_col, text_col, digests=True), "simhash-fingerprints")
+    # a text has one fingerprint, so id and digest tell the component; it is never told by an id, which may be NULL
+    place = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "text_sha256")
+    labelled = _least_of_components(printed, place, k)
+    kept = F.col(id_col).eqNullSafe(F.col("least.id")) & (F.col("text_sha256") == F.col("least.text_sha256"))
+    entries = stored(
+        printed.join(labelled, F.col("fp") == F.col("own_fp")).select(id_col, "text_sha256", kept.alias("kept")),
+        "simhash-entries",
+    )
+    losers = stored(entries.where(~F.col("kept")).select(id_col, "text_sha256").distinct(), "simhash-losers")
+    left = drop_losers(docs, losers, {id_col: F.col(id_col), "text_sha256": digest(text_col)})
+    if entries.where("kept").groupBy(id_col, "text_sha256").count().where("count > 1").isEmpty():
+        return left
+    hidden = f"_digest_{uuid.uuid4().hex[:8]}"
+    return left.withColumn(hidden, digest(text_col)).dropDuplicates([id_col, hidden]).drop(hidden)

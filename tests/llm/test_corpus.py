@@ -415,6 +415,24 @@ def test_near_duplicates(spark, odd, nothing):
     assert simhash.near_duplicates(repeated).count() == 3
 
 
+def test_one_document_of_each_group_stays_whatever_the_ids(spark):
+    base = [f"w{i}" for i in range(400)]
+    first, near, other = " ".join(base), " ".join([*base[:-1], "changed"]), " ".join(f"v{i}" for i in range(400))
+    assert (simhash.fingerprint(first) ^ simhash.fingerprint(near)).bit_count() <= 3
+
+    def left(*given):
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs(spark, given)).collect()), key=str)
+
+    # one row with a NULL or repeated id is linked to a smaller id; others of that id aren't
+    assert left((1, first), (None, near), (None, other)) == [(1, first), (None, other)]
+    assert left((1, first), (7, near), (7, other)) == [(1, first), (7, other)]
+    # near copies that share an id or have none
+    assert [i for i, _ in left((None, first), (None, near), (None, None))] == [None, None]
+    assert len(left((4, first), (4, near), (4, other), (9, near))) == 2
+    # rows that repeat id and text
+    assert left((3, first), (3, first), (None, other), (None, other)) == [(3, first), (None, other)]
+
+
 # --- queries and pipeline ----------------------------------------------------------------------------------------
 
 
