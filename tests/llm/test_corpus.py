@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -152,6 +153,21 @@ def test_mix_of_odd_rows(odd, nothing):
     assert mixing.mixture(nothing).count() == 0 and mixing.mixed_documents(odd).columns == odd.columns
 
 
+def test_mix_divides_rows_that_share_an_id(spark):
+    given = [(i, "w " * 5) for i in range(600)] + [(None, f"u{i} v w x y") for i in range(400)]
+    given += [(7000, "s t u v w")] * 300 + [(i, "w") for i in range(8000, 8900)]
+    frame = docs(spark, given, ["a"] * 1000 + ["b"] * 300 + ["c"] * 900)
+    for seed in range(4):
+        for weights in ((5, 2, 1), (3, 4, 5), (1, 7, 2)):
+            found = mixing.mixture(frame, weights, seed).collect()
+            for own in ([r for r in found if r.source_size == size] for size in (5000, 1500, 900)):
+                assert abs(sum(r.taken for r in own) - own[0].target) <= 2.5
+    mixed = mixing.mixed_documents(frame, (1, 7, 2), 3)
+    assert mixed.columns == frame.columns
+    words = {s: sum(len(WORD.findall(r.text)) for r in mixed.where(F.col("source") == s).collect()) for s in "abc"}
+    assert words == {s: sum(r.taken for r in found if r.source_size == n) for s, n in (("a", 5000), ("b", 1500), ("c", 900))}
+
+
 # --- learnt scores -----------------------------------------------------------------------------------------------
 
 
