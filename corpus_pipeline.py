@@ -41,8 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids``."""
-    return bpe.encode_documents(docs, TOKENIZER)
+    """``doc_id, n_tokens, ids``, the digest of the decoded ids and whether they give the text."""
+    return bpe.encode_and_check(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -172,6 +172,34 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc
     return map_rows(encoded.select(id_col, "ids"), run, f"`{id_col}` {kind}, text string")
 
 
+def encode_and_check(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_tokens, ids, decoded_sha256, same_text``: :func:`encode_documents` and, in the same pass, the ids decoded.
+
+    ``same_text`` tells whether they decode to the text, NULL counting as empty.
+    """
+    shipped = _shipped(docs, tokenizer_path)
+
+    def run(batches) -> Iterator:
+        codec = _codec(shipped.value)
+        for keys, texts in batches:
+            ids = [codec.encode(text) for text in texts]
+            back = [codec.decode(i) for i in ids]
+            yield (
+                keys,
+                [len(i) // 4 for i in ids],
+                ids,
+                [hashlib.sha256(text.encode()).hexdigest() for text in back],
+                [text == (given or "") for text, given in zip(back, texts, strict=True)],
+            )
+
+    kind = dict(docs.dtypes)[id_col]
+    return map_rows(
+        docs.select(id_col, text_col),
+        run,
+        f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded_sha256 string, same_text boolean",
+    )
+
+
 def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode in one pass and keep the digests: ``id, n_tokens, ids_sha256, decoded_sha256``."""
     shipped = _shipped(docs, tokenizer_path)

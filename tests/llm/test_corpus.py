@@ -476,3 +476,14 @@ def test_pipeline(spark):
     texts = {r.doc_id: r.text for r in given.collect()}
     assert all(np.frombuffer(r.ids, "<u4").tolist() == library.encode(texts[r.doc_id], add_special_tokens=False).ids for r in now.collect())
     assert sizes[1] > 0.7 * sizes[0] and corpus_pipeline.run(spark, FOLDER).count() == sizes[-1]
+
+
+def test_pipeline_decodes_what_it_encodes(spark, odd, nothing):
+    stage = dict(corpus_pipeline.STAGES)["bpe"]
+    encoded = rows(bpe.encode_documents(odd, queries.TOKENIZER))
+    found = stage(spark, odd, FOLDER).collect()
+    assert len(found) == len(ODD) and stage(spark, nothing, FOLDER).count() == 0
+    texts = {i: t or "" for i, t in ODD}
+    for r in found:
+        assert r.ids == encoded[r.doc_id].ids and r.n_tokens == encoded[r.doc_id].n_tokens
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.same_text
