@@ -68,7 +68,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")), "v2")
+    entries = rules.apply_policy(rules.stored_ledger(table(spark, sf_dir, "documents")), "v2")
     base_failed = F.col("failed_rules").bitwiseAND(F.lit(rules.mask("base"))) != 0
     return entries.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -76,6 +76,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.all_ablations(rules.stored_ledger(table(spark, sf_dir, "documents")))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.passages(table(spark, sf_dir, "documents"))
 
@@ -103,6 +107,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_url_filters, op2_sharding, op3_mixing, op4_quality, op5_exact_dedup, op6_quality_rules,
-            op7_suffix_dedup, op8_toxicity, op9_bpe, op10_simhash,
+            op6_quality_rules_ablations, op7_suffix_dedup, op8_toxicity, op9_bpe, op10_simhash,
         )
     }

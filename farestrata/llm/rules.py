@@ -1,7 +1,7 @@
 """Quality rules as a ledger of bits.
 
-Every rule is evaluated once per document. The ledger keeps the measurements and one bit per broken rule; a policy is
-a versioned set of rules, applied afterwards without reading a text again. What each rule costs a policy follows from
+Every rule is evaluated once per document. The ledger keeps the measurements and one bit per broken rule, stored in the shared
+folder; a policy is a versioned set of rules, applied afterwards to the stored rows without reading a text again. What each rule costs a policy follows from
 the number of documents per bit pattern, of which there are at most two to the number of rules.
 
 NULL and empty texts have no words and break ``few_words`` alone. Ties at a limit pass. Repeated rows give repeated
@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farestrata.llm.common import WORD, map_rows
+from farestrata.llm.common import WORD, map_rows, stored
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
@@ -87,6 +88,11 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return measured.withColumn("failed_rules", F.expr(bits))
 
 
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`ledger`, written once; policies and ablations read the stored rows."""
+    return stored(ledger(docs, id_col, text_col), "quality-ledger")
+
+
 def breaks(policy: str) -> Column:
     return F.col("failed_rules").bitwiseAND(F.lit(mask(policy))) != 0
 
@@ -114,3 +120,9 @@ def ablations(entries: DataFrame, policy: str) -> DataFrame:
         for rule in POLICIES[policy]
     ])
     return wide.select(F.explode(F.array(*POLICIES[policy])).alias("row")).select("row.*")
+
+
+def all_ablations(entries: DataFrame) -> DataFrame:
+    """``policy`` and the rows of :func:`ablations`, for every policy."""
+    found = [ablations(entries, policy).select(F.lit(policy).alias("policy"), "*") for policy in POLICIES]
+    return reduce(DataFrame.unionAll, found)
