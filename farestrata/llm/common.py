@@ -38,13 +38,49 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
 def keep_batches_small(spark: SparkSession) -> None:
-    """Very long texts must not fill one Arrow batch; a limit set by the user stays if it is lower."""
+    """Very long texts must not fill one Arrow batch. A lower limit of the user stays.
+
+    The setting is read when the plan runs, so it can't be put back here and holds for the session.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(name, None) != BATCH_BYTES:
+    known = spark.conf.get(name, None)
+    if known is None or not 0 < _bytes(known) <= _bytes(BATCH_BYTES):
         spark.conf.set(name, BATCH_BYTES)
 
 
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch | tuple]], schema: str
+) -> DataFrame:
+    """Run ``function`` over record batches; it yields batches, or tuples of columns in the order of ``schema``."""
+    ship(df.sparkSession)
+    keep_batches_small(df.sparkSession)
+    target = df.sparkSession.createDataFrame([], schema).schema
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(target)
+
+    def column(values, kind: pa.DataType) -> pa.Array:
+        if isinstance(values, pa.ChunkedArray):
+            values = values.combine_chunks()
+        return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in function(batches):
+            if isinstance(found, tuple):
+                found = pa.RecordBatch.from_arrays(
+                    [column(values, field.type) for values, field in zip(found, arrow, strict=True)], schema=arrow
+                )
+            yield found
+
+    return df.mapInArrow(run, target)
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterator[tuple[list, ...]]], Iterable[tuple[list, ...]]], schema: str
 ) -> DataFrame:

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from farestrata.llm import (
     bpe,
+    collocations,
+    conversations,
     exact_dedup,
+    lines,
     mixing,
     quality,
     rules,
@@ -102,11 +105,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.faults(conversations.damage(table(spark, sf_dir, "conversations")))
+    return conversations.repair_digests(rows, conversations.verdicts(rows))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_url_filters, op2_sharding, op3_mixing, op4_quality, op5_exact_dedup, op6_quality_rules,
             op6_quality_rules_ablations, op7_suffix_dedup, op8_toxicity, op9_bpe, op10_simhash,
+            op11_conversation_repair, op12_line_dedup, op13_collocations,
         )
     }

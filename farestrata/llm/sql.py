@@ -135,6 +135,59 @@ FROM judged
 """
 
 
+OP12 = rf"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS row FROM documents
+), one AS (
+  SELECT doc_id, row, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM split
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key FROM one
+), judged AS (
+  SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY row, doc_id
+"""
+
+OP13 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM worded, range(1, 4) r(m) WHERE len(w) >= m
+), counts AS MATERIALIZED (
+  SELECT lang, m, phrase, concat(lang, chr(9), phrase) AS key, count(*)::HUGEINT AS f FROM grams GROUP BY ALL
+), candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 10
+), cuts AS MATERIALIZED (
+  SELECT lang, m, phrase, a, 1 AS k, concat(lang, chr(9), w[1]) AS front, concat(lang, chr(9), array_to_string(w[2:], ' ')) AS back FROM candidates
+  UNION ALL
+  SELECT lang, m, phrase, a, 2, concat(lang, chr(9), array_to_string(w[:2], ' ')), concat(lang, chr(9), w[3]) FROM candidates WHERE m = 3
+), valued AS (
+  SELECT c.*, l.f AS l, r.f AS r, (1000000 * a * a) // (l.f * r.f) AS score
+  FROM cuts c JOIN counts l ON l.key = front JOIN counts r ON r.key = back
+), scored AS (
+  SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inside, a AS longest FROM candidates WHERE m = 3
+), covered AS (
+  SELECT lang, inside, max(longest) AS longest FROM longer GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN covered v ON s.lang = v.lang AND s.phrase = v.inside
+  WHERE longest IS NULL OR 100 * longest < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": OP1,
@@ -142,4 +195,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": OP3,
         "op5_exact_dedup": OP5,
         "op6_quality_rules": OP6,
+        "op12_line_dedup": OP12,
+        "op13_collocations": OP13,
     }
