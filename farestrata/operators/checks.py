@@ -197,6 +197,38 @@ def ledger_mismatches(raw: DataFrame, ledger: DataFrame, dataset: str) -> DataFr
     )
 
 
+#: Loaded files up to which their list is broadcast.
+MOST_BROADCAST_FILES = 100_000
+
+
+def ledger_mismatches_by_suffix(
+    raw: DataFrame, ledger: DataFrame, dataset: str, most_broadcast: int = MOST_BROADCAST_FILES
+) -> DataFrame:
+    """:func:`ledger_mismatches` with the condition as it is written: the table's file name ends in the ledger's.
+
+    Rows are counted per file first, so both sides hold one row per file. The list of loaded files is counted and
+    broadcast for a nested loop join while it is short. A longer one is joined by equality: each counted file offers its ending
+    once per length that a name in the ledger has.
+    """
+    rows = _per_file(raw, raw_rows=F.count("*"))
+    loaded = loaded_files(ledger, dataset).select("source_file", "rows_loaded")
+    if loaded.limit(most_broadcast + 1).count() <= most_broadcast:
+        ends = F.expr("right(_source_file, length(source_file)) = source_file")
+        joined = F.broadcast(loaded).join(rows, ends, "inner")
+    else:
+        lengths = loaded.select(F.length("source_file").alias("_length")).distinct()
+        endings = rows.join(lengths, F.length("_source_file") >= F.col("_length")).select(
+            F.expr("right(_source_file, _length)").alias("source_file"), "raw_rows"
+        )
+        joined = loaded.join(endings, "source_file")
+    found = joined.select("source_file", "raw_rows")
+    return (
+        loaded.join(found, "source_file", "left")
+        .where(F.coalesce("raw_rows", F.lit(-1)) != F.col("rows_loaded"))
+        .select("source_file", "rows_loaded", "raw_rows")
+    )
+
+
 def files_missing_from(fact: DataFrame, ledger: DataFrame, dataset: str) -> DataFrame:
     """Loaded files without a single trip in the fact."""
     present = fact.select("_source_file").distinct().select(base_name("_source_file").alias("_name"))

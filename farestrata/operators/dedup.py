@@ -7,6 +7,7 @@ position before it crosses the network.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,14 +45,22 @@ def flag_later_copies(df: DataFrame, repeated: DataFrame, keys: list[str], posit
     )
 
 
-def mark_later_copies(df: DataFrame, keys: list[str], position: str, flag: str) -> DataFrame:
-    """Find the repeated groups on the key columns alone, store them, and flag their later members.
+def mark_later_copies(
+    df: DataFrame, keys: list[str], position: str, flag: str, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Find the repeated groups on the key columns alone, and flag their later members.
 
-    As the groups are stored, Spark knows their size: it broadcasts a short list, so the wide rows don't move, and
-    joins a long one by shuffle.
+    Nothing runs before the result is asked for, and what ``df`` shuffles to get here is shuffled once, as both uses of it
+    stand in one plan. Where ``df`` is cheap to read twice, as a stored table is, ``keep`` (such as :func:`stored_groups`) may
+    store the groups first: then Spark knows their size and broadcasts a short list, so the wide rows don't move at all.
     """
-    spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/repeated-{uuid.uuid4().hex}"
     groups = repeated_groups(df, keys, position)
+    return flag_later_copies(df, keep(groups) if keep else groups, keys, position, flag)
+
+
+def stored_groups(groups: DataFrame) -> DataFrame:
+    """``groups`` written to the shared folder and read back."""
+    spark = groups.sparkSession
+    folder = f"{shared_folder(spark)}/repeated-{uuid.uuid4().hex}"
     groups.write.parquet(folder)
-    return flag_later_copies(df, spark.read.schema(groups.schema).parquet(folder), keys, position, flag)
+    return spark.read.schema(groups.schema).parquet(folder)

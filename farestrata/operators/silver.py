@@ -103,6 +103,7 @@ class Code:
         return f"_known_{self.column}"
 
 
+# Reported codes, their unknown members and tags.
 CODES = (
     Code("vendor_id", "vendors", "vendor_id", UNKNOWN_VENDOR, "VENDOR"),
     Code("rate_code_id", "rate_codes", "rate_code_id", UNKNOWN_RATE_CODE, "RATE_CODE"),
@@ -181,7 +182,7 @@ def standardize(typed_trips: DataFrame, refs: References, limits: Limits = Limit
 
 # --- quality rules ----------------------------------------------------------------------------------------
 
-# Two records are the same trip when these agree; the copy with the smallest row number is kept.
+# Two records are the same trip when these agree; the copy with the smallest row number is kept.
 BUSINESS_KEY = [
     "vendor_id",
     "pickup_datetime",
@@ -218,7 +219,7 @@ def _distance() -> Column:
     return F.col("trip_distance_miles")
 
 
-# In order of priority: the first broken rule names the rejection.
+# Fixed values, in order of priority: the first broken rule names the rejection.
 RULES = (
     Rule("MISSING_DATETIME", lambda _: F.col("pickup_datetime").isNull() | F.col("dropoff_datetime").isNull()),
     Rule("DUPLICATE", None),
@@ -237,8 +238,8 @@ FLAGS = [rule.flag for rule in RULES]
 VALUE_RULES = [rule for rule in RULES if rule.broken is not None]
 
 
-def mark_duplicates(standardized: DataFrame) -> DataFrame:
-    return mark_later_copies(standardized, COPY_KEY, "_file_row_number", DUPLICATE_FLAG)
+def mark_duplicates(standardized: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    return mark_later_copies(standardized, COPY_KEY, "_file_row_number", DUPLICATE_FLAG, keep)
 
 
 def evaluate(marked: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -250,6 +251,7 @@ def evaluate(marked: DataFrame, limits: Limits = Limits()) -> DataFrame:
     }).withColumn("is_valid", F.col("rejection_reason").isNull())
 
 
+# Output columns.
 EVALUATED_COLUMNS = [
     "trip_id",
     "vendor_id",
@@ -280,12 +282,15 @@ EVALUATED_COLUMNS = [
 ]
 
 
-def standardized_trips(bronze: DataFrame, refs: References, limits: Limits = Limits()) -> DataFrame:
-    """Every bronze record, typed, standardised and judged."""
-    marked = mark_duplicates(standardize(typed(bronze), refs, limits))
+def standardized_trips(
+    bronze: DataFrame, refs: References, limits: Limits = Limits(), keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Every bronze record, typed, standardised and judged; ``keep`` as in :func:`mark_later_copies`."""
+    marked = mark_duplicates(standardize(typed(bronze), refs, limits), keep)
     return evaluate(marked, limits).select(*EVALUATED_COLUMNS)
 
 
+# Output columns.
 VALID_COLUMNS = [
     "trip_id",
     "vendor_id",
@@ -311,6 +316,7 @@ def valid_trips(evaluated: DataFrame) -> DataFrame:
     return evaluated.where("is_valid").select(*VALID_COLUMNS)
 
 
+# Output columns.
 REJECTED_COLUMNS = [
     "trip_id",
     "rejection_reason",

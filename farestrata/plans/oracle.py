@@ -331,6 +331,11 @@ _RELOADED = f"""
       _loaded_at + if({_file_of(3)}, interval 30 days, interval 0 days) as _loaded_at)
     from {{source}} where not ({_file_of(6)})"""
 
+_LEDGER_MISMATCHES = """
+    select l.source_file, l.rows_loaded, f.n as raw_rows from ledger l
+    left join files f on suffix(f.path, l.source_file)
+    where l.status = 'LOADED' and ifnull(f.n, -1) <> l.rows_loaded"""
+
 QUERIES = {
     "bronze_trips": "select * from bronze",
     "append_new_columns": """
@@ -460,10 +465,7 @@ QUERIES = {
     "missing_files": f"""
         select source_file from ledger where status = 'LOADED' and not exists (
           select 1 from valid v where suffix(v._source_file, ledger.source_file) and not ({_file_of(2)}))""",
-    "ledger_vs_rows": """
-        select l.source_file, l.rows_loaded, f.n as raw_rows from ledger l
-        left join files f on suffix(f.path, l.source_file)
-        where l.status = 'LOADED' and ifnull(f.n, -1) <> l.rows_loaded""",
+    "ledger_vs_rows": _LEDGER_MISMATCHES,
     "expected_months_missing": "select * from expected where source_file not in (select source_file from inventory)",
     "changed_files": """
         select _source_file, count(*) as row_count from raw where _source_file in (
@@ -486,12 +488,43 @@ QUERIES = {
         union all by name
         select * from ledger where source_file not in (select source_file from entries)""",
     "incremental_replace": _RELOADED.format(source="raw"),
+    "landed_scan": f"""
+        select _source_file, row_number() over (partition by _source_file order by _file_row_number) as _file_row_number,
+          {', '.join(c for c in TRIP_COLUMNS if c != 'cbd_congestion_fee')},
+          if(_source_file >= 'yellow/yellow_tripdata_1995', cbd_congestion_fee, null) as cbd_congestion_fee
+        from raw""",
+    "landed_inventory": """
+        select source_file, case m when 3 then 'resized' when 11 then 'new' when 12 then 'missing' else 'same' end as state
+        from files""",
+    "load_outcomes": """
+        select e.source_file, e.source_period,
+          case when f.n is null then 'NOT_AVAILABLE' when m = 6 then 'FAILED' else 'LOADED' end as status,
+          if(m = 6, null, f.n) as file_rows, if(m = 6, null, f.n) as rows_loaded,
+          if(f.n is null or m in (3, 6), 2, 1) as attempts,
+          case when f.n is null then 'not published yet' when m <> 6 then 'ok' end as message,
+          f.n is null or m in (3, 6) as in_last_run, f.n as rows_now, t + if(m = 3, f.n, 0) as total_now, f.n as last_row
+        from expected e left join files f using (source_file) left join (
+          select _source_file as path, cast(sum(cast(total_amount as decimal(18,2))) as double) as t from raw group by 1
+        ) totals using (path)
+        where e.source_period <= (select max(source_period) + interval 2 months from files)""",
+    "code_tables_from_csv": _used(f"select {_key('vendor_id')} as vendor_key, * from vendors", "vendor_key",
+                                  ("vendor_key", "trips")),
+    "stored_schema_growth": """
+        select _source_file, _file_row_number, vendorid, pulocationid,
+          if(_source_file >= 'yellow/yellow_tripdata_1995', cbd_congestion_fee, null) as cbd_congestion_fee
+        from raw""",
+    "ledger_vs_rows_theta": _LEDGER_MISMATCHES,
+    "ledger_vs_rows_long_list": _LEDGER_MISMATCHES,
+    "first_run_files": "select _source_file, count(*) as row_count from raw group by 1",
     "layered_reload": f"select {_doubles(_FACT)} from fact",
     "layered_full_refresh": f"select {_doubles(_FACT)} from fact",
 }
 
 #: Steps that differ in one query.
 OTHER_STEPS = {
+    "code_tables_from_csv": {
+        "vendors": f"select * from (values {_values([v for v in VENDORS if v[0] != 6])}) v(vendor_id, vendor_name)"
+    },
     "layered_reload": {"landed": CTES["raw"], "raw": _RELOADED.format(source="landed")},
     "layered_full_refresh": {"flagged": CTES["flagged"].replace("not between 0 and 200", "not between 0 and 100")},
 }

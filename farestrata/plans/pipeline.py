@@ -29,6 +29,7 @@ from farestrata.config import (
     Limits,
 )
 from farestrata.operators import bronze, checks, gold, ledger, marts, silver
+from farestrata.operators.dedup import stored_groups
 from farestrata.plans import suites
 from farestrata.sources import landing
 from farestrata.sources.tables import FileTable, new_run
@@ -167,79 +168,104 @@ def drift_message(columns: list[str]) -> str:
     return "; ".join(["ok", *(f"{state}: {', '.join(sorted(found))}" for state, found in sorted(named.items()))])
 
 
-def _load_file(lake: Lake, source: str, entry: dict, loaded_at: datetime) -> dict:
-    """Replace the raw rows of one file; the rows written must be the rows of the file.
+def _load_files(lake: Lake, source: str, entries: list[dict], loaded_at: datetime) -> list[dict]:
+    """Replace the raw rows of files that have the same columns; the rows written must be the rows of each file.
 
-    The ledger entry, completed here, becomes current in the same commit as the rows.
+    The ledger entries, completed here, become current in the same commit as the rows. Names without files give an error.
     """
-    file_name = entry["source_file"]
-    landed = landing.open_trips(lake.spark, source, file_name)
-    table, run, key = lake.table("raw.trips"), new_run(), f"{TRIPS_FOLDER}/{file_name}"
+    names = [entry["source_file"] for entry in entries]
+    landed = landing.open_trips(lake.spark, source, *names)
+    table, run = lake.table("raw.trips"), new_run()
+    keys = [f"{TRIPS_FOLDER}/{name}" for name in names]
     rows = landing.scan_trips(landed, loaded_at)
     table.stage(rows, run)
-    staged = table.staged_rows(run, [key], rows.schema)
-    expected = landed.count()
-    if staged[key] != expected:
-        raise RuntimeError(f"{staged[key]} rows were written but the file has {expected}")
-    entry = entry | {
-        "status": LOADED,
-        "message": drift_message(landed.columns),
-        "file_rows": expected,
-        "rows_loaded": expected,
-        "source_columns": ",".join(landed.columns),
-    }
-    if entry["message"] != "ok":
-        log.warning("%s: %s", file_name, entry["message"])
-    table.commit(run, staged, rows.schema, notes={key: _note(entry)})
-    return entry
+    staged = table.staged_rows(run, keys, rows.schema)
+    expected = landing.rows_per_file(landed)
+    message, columns = drift_message(landed.columns), ",".join(landed.columns)
+    done = []
+    for entry, key in zip(entries, keys, strict=True):
+        n = expected.get(entry["source_file"], 0)
+        if staged[key] != n:
+            raise RuntimeError(f"{staged[key]} rows were written but the file has {n}")
+        if message != "ok":
+            log.warning("%s: %s", entry["source_file"], message)
+        done.append(entry | {
+            "status": LOADED, "message": message, "file_rows": n, "rows_loaded": n, "source_columns": columns,
+        })
+    table.commit(run, staged, rows.schema, notes={key: _note(entry) for key, entry in zip(keys, done, strict=True)})
+    return done
+
+
+def _load_group(lake: Lake, source: str, entries: list[dict], loaded_at: datetime) -> list[dict]:
+    """Load files together; if that fails, each half by itself, until the file that fails is alone."""
+    try:
+        return _load_files(lake, source, entries, loaded_at)
+    except Exception as error:
+        if len(entries) == 1:
+            return [entries[0] | {"status": FAILED, "message": str(error)[:MESSAGE_LIMIT]}]
+    half = len(entries) // 2
+    return [done for part in (entries[:half], entries[half:]) for done in _load_group(lake, source, part, loaded_at)]
+
+
+def _side_by_side(function: Callable, items: list) -> list:
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(inheritable_thread_target(function), items))
 
 
 def load_trips(
     lake: Lake, source: str, start: str, end: str, force: bool = False, fail_on_missing: bool = False
 ) -> list[FileResult]:
-    """Load the files that are new or changed. A file that fails is recorded and the others go on."""
+    """Load the files that are new or changed. A file that fails is recorded and the others go on.
+
+    Files with the same columns are loaded by one job and one commit.
+    """
     loaded_at = datetime.now(UTC)
     # one row per month of the range
     plan = plan_loads(lake, source, start, end, force).orderBy("source_period").collect()
     published = {row.source_file: row for row in landing.inventory(lake.spark, source).collect()}
-
-    def attempt(row) -> tuple[FileResult, dict | None]:
-        entry = {
+    entries = {
+        row.source_file: {
             "source_file": row.source_file,
             "dataset": TRIPS_DATASET,
             "source_period": row.source_period,
             "source_url": landing.trips_path(source, row.source_file),
             "updated_at": loaded_at,
         }
-        if row.action == SKIPPED:
-            return FileResult(row.source_file, row.source_period, SKIPPED, row.rows_kept), None
+        for row in plan if row.action != SKIPPED
+    }
+    for row in plan:
         if row.action == NOT_AVAILABLE:
-            message = "not published yet"
-            return (
-                FileResult(row.source_file, row.source_period, NOT_AVAILABLE, 0, message),
-                entry | {"status": NOT_AVAILABLE, "message": message},
-            )
-        entry |= {
-            "etag": row.etag,
-            "content_length": row.content_length,
-            "source_last_modified": published[row.source_file].source_last_modified,
-        }
+            entries[row.source_file] |= {"status": NOT_AVAILABLE, "message": "not published yet"}
+        elif row.action == ledger.LOAD:
+            entries[row.source_file] |= {
+                "etag": row.etag,
+                "content_length": row.content_length,
+                "source_last_modified": published[row.source_file].source_last_modified,
+            }
+
+    def columns_of(name: str) -> tuple | str:
         try:
-            entry = _load_file(lake, source, entry, loaded_at)
+            return landing.columns_of(lake.spark, source, name)
         except Exception as error:
-            message = str(error)[:MESSAGE_LIMIT]
-            return (
-                FileResult(row.source_file, row.source_period, FAILED, 0, message),
-                entry | {"status": FAILED, "message": message},
-            )
-        return FileResult(row.source_file, row.source_period, LOADED, entry["rows_loaded"], entry["message"]), entry
+            return str(error)[:MESSAGE_LIMIT]
 
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(attempt), plan))
-    entries = [entry for _, entry in outcomes if entry]
+    wanted = [row.source_file for row in plan if row.action == ledger.LOAD]
+    groups: dict[tuple, list[dict]] = {}
+    for name, found in zip(wanted, _side_by_side(columns_of, wanted), strict=True):
+        if isinstance(found, str):
+            entries[name] |= {"status": FAILED, "message": found}
+        else:
+            groups.setdefault(found, []).append(entries[name])
+    for done in _side_by_side(lambda group: _load_group(lake, source, group, loaded_at), list(groups.values())):
+        entries |= {entry["source_file"]: entry for entry in done}
     if entries:
-        lake.record([entry for entry in entries if entry["status"] != LOADED])
-    results = [result for result, _ in outcomes]
+        lake.record([entry for entry in entries.values() if entry["status"] != LOADED])
+    results = []
+    for row in plan:
+        entry = entries.get(row.source_file, {"status": SKIPPED, "rows_loaded": row.rows_kept, "message": ""})
+        results.append(
+            FileResult(row.source_file, row.source_period, entry["status"], entry.get("rows_loaded") or 0, entry["message"])
+        )
     summary = summarize(lake.spark, results).first()
     unmet = {FAILED: summary.months_failed, NOT_AVAILABLE: summary.months_not_available if fail_on_missing else 0}
     if any(unmet.values()):
@@ -306,13 +332,12 @@ def rebuild(lake: Lake, **tables: DataFrame) -> None:
     def one(item: tuple[str, DataFrame]) -> None:
         lake.table(item[0].replace("__", ".")).replace(item[1].coalesce(1))
 
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        list(pool.map(inheritable_thread_target(one), tables.items()))
+    _side_by_side(one, list(tables.items()))
 
 
 def judged_trips(lake: Lake, bronze_trips: DataFrame) -> DataFrame:
-    """Standardised and judged records, built from stored bronze rows by the path that the queries use."""
-    return silver.standardized_trips(bronze_trips, lake.references(), lake.limits)
+    """Standardised and judged records. Bronze rows are stored, so a pass over their keys alone is cheap."""
+    return silver.standardized_trips(bronze_trips, lake.references(), lake.limits, keep=stored_groups)
 
 
 def build_bronze(lake: Lake, full_refresh: bool = False) -> None:

@@ -9,6 +9,7 @@ from farestrata.operators.silver import REASONS
 # Accepted service zones.
 SERVICE_ZONES = ("Yellow Zone", "Boro Zone", "Airports", "EWR", "Unknown", "Outside of NYC")
 
+# The declared checks of all layers.
 RAW = (
     TableChecks("raw.trips", not_null=("_source_file", "_file_row_number", "_loaded_at")),
     TableChecks("raw.zones", not_null=("locationid",), unique=("locationid",)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,12 +45,34 @@ def _listed(spark: SparkSession, folder: str, names: str) -> DataFrame:
     )
 
 
-def open_trips(spark: SparkSession, landing: str, file_name: str) -> DataFrame:
-    return spark.read.parquet(trips_path(landing, file_name))
+def open_trips(spark: SparkSession, landing: str, *file_names: str) -> DataFrame:
+    """Files that have the same columns, as one frame."""
+    return spark.read.parquet(*[trips_path(landing, name) for name in file_names])
+
+
+def columns_of(spark: SparkSession, landing: str, file_name: str) -> tuple[tuple[str, str], ...]:
+    """Names and types of a file's columns; reads its footer alone."""
+    return tuple(spark.read.parquet(trips_path(landing, file_name)).dtypes)
+
+
+def scan_all(spark: SparkSession, landing: str, loaded_at: datetime) -> DataFrame:
+    """Raw rows of all landed files, whatever the spelling and order of their columns; files with the same columns are one scan."""
+    # one row per file
+    names = [row.source_file for row in inventory(spark, landing).collect()]
+    groups: dict[tuple, list[str]] = {}
+    for name in names:
+        groups.setdefault(columns_of(spark, landing, name), []).append(name)
+    return reduce(DataFrame.union, [scan_trips(open_trips(spark, landing, *same), loaded_at) for same in groups.values()])
+
+
+def rows_per_file(landed: DataFrame) -> dict[str, int]:
+    """Rows of each file of :func:`open_trips`; no column is read."""
+    counted = landed.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n"))
+    return {row["name"]: row["n"] for row in counted.collect()}
 
 
 def scan_trips(landed: DataFrame, loaded_at: datetime) -> DataFrame:
-    """Raw rows of one landed file: declared columns by name, plus file, row number, file time and load time."""
+    """Raw rows of landed files: declared columns by name, plus file, row number, file time and load time."""
     meta = F.col("_metadata")
     lineage = (
         F.concat(F.lit(f"{TRIPS_FOLDER}/"), meta["file_name"]).alias("_source_file"),

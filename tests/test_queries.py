@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import difference, duck
-from farestrata.plans import catalog, oracle
+from farestrata.plans import catalog, landed, oracle  # noqa: F401  landed registers queries
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
