@@ -9,7 +9,8 @@ then exact, whenever it began.
 look tells whether and since when a phrase is active. A phrase that passes by chance is only counted in vain. Filters have a cell
 for every 32 bytes of text, up to ``bloom.MOST_BITS >> 3`` cells (128 MiB); beyond that more is counted in vain.
 
-**Counters** are a bucketed table: a scan counts in tasks, sums by one shuffle and appends; sums over scans need no shuffle.
+**Counters** are a bucketed table: a scan counts in tasks, sums by one shuffle and appends; sums over scans need no shuffle,
+and a phrase that just began needs none.
 No candidate list, vocabulary or count passes through the driver, only filters.
 
 **Score.** For every cut of a phrase ``floor(1000000 * a * a / (l * r))`` in exact decimals; the least counts, ties to the first cut.
@@ -39,7 +40,7 @@ from farestrata.llm import bloom
 from farestrata.llm.common import map_arrow, stored
 
 THRESHOLD, LONGEST, TOP = 10, 3, 2_000
-SHARDS = 3
+SHARDS = 2
 UNKNOWN = "und"
 PARTS = 256
 NEVER = 255
@@ -196,20 +197,25 @@ class Counters:
         self.name = f"phrase_counters_{uuid.uuid4().hex}"
 
     def append(self, found: DataFrame) -> None:
-        # tasks have counted already: one shuffle, and the sums of a bucket are written where they are made
-        summed = (
-            found.repartition(self.buckets, "lang", "phrase").groupBy("lang", "phrase", "words", "since")
-            .agg(F.sum("n").alias("n"))
+        # length and begin follow from the phrase; a sum stays in the bucket of its partition
+        summed = found.groupBy("lang", "phrase").agg(
+            F.max("words").alias("words"), F.max("since").alias("since"), F.sum("n").alias("n")
         )
         (
             summed.write.mode("append").format("parquet").partitionBy("words")
             .bucketBy(self.buckets, "lang", "phrase").saveAsTable(self.name)
         )
 
-    def reached(self, length: int, after: int, threshold: int) -> DataFrame:
-        """``lang, phrase, since, n`` of the phrases that began after a scan and have reached the threshold."""
-        rows = self.spark.table(self.name).where((F.col("words") == length) & (F.col("since") > after))
-        return rows.groupBy("lang", "phrase", "since").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+    def reached(self, length: int, scan: int, shards: int, threshold: int) -> DataFrame:
+        """``lang, phrase, since, n`` of the phrases that are not yet counted whole, or are since this scan, and have reached the threshold."""
+        rows = self.spark.table(self.name).where(F.col("words") == length).select("lang", "phrase", "since", "n")
+        if length == 1:
+            begun, new = F.lit(scan > 0), F.lit(scan == 0)
+        else:
+            begun, new = F.col("since").between(scan - shards + 1, scan - 1), F.col("since") == scan
+        older = rows.where(begun).groupBy("lang", "phrase", "since").agg(F.sum("n").alias("n"))
+        # what began with this scan has one row
+        return rows.where(new & (F.col("n") >= threshold)).union(older.where(F.col("n") >= threshold))
 
     def close(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -238,8 +244,7 @@ def frequent_phrases(
             for length in range(1, LONGEST + 1):
                 if length > 1 and length - 1 not in begun or length == 1 and scan >= shards:
                     continue
-                first = -1 if length == 1 else scan - shards
-                reached = stored(counters.reached(length, first, threshold), "phrases-reached")
+                reached = stored(counters.reached(length, scan, shards, threshold), "phrases-reached")
                 ended = F.col("since") == scan - shards + 1 if length > 1 else F.lit(scan == shards - 1)
                 done.append(reached.where(ended).select("lang", F.lit(length).alias("words"), "phrase", "n"))
                 if length < LONGEST:
