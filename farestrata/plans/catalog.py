@@ -516,15 +516,21 @@ def reload_march(table: FileTable) -> None:
     table.replace(march, again)
 
 
-def stored_layers(data: Inputs) -> pipeline.Lake:
-    """Raw, bronze, silver and gold as stored tables, built from all files."""
+def stored_raw(data: Inputs, trips: DataFrame) -> pipeline.Lake:
+    """A lake with raw tables alone."""
     lake = pipeline.Lake(data.spark, f"{session.shared_folder(data.spark)}/layers-{new_run()}")
-    lake.table("raw.trips").replace(data.raw)
+    lake.table("raw.trips").replace(trips)
     lake.table("raw.zones").replace(
         bridge.raw_zones(data.spark, data.sf_dir).withColumns({
             "_source_file": F.lit("zones"), "_loaded_at": F.current_timestamp(),
         })
     )
+    return lake
+
+
+def stored_layers(data: Inputs) -> pipeline.Lake:
+    """Raw, bronze, silver and gold as stored tables, built from all files."""
+    lake = stored_raw(data, data.raw)
     build_layers(lake)
     return lake
 

@@ -1,4 +1,5 @@
-"""Queries over real files: the landing folder, loads that partly fail, code tables in CSV, stored tables that grow columns.
+"""Queries over real files: the landing folder, loads that partly fail, code tables in CSV, stored tables that grow columns, and
+the checks and gates of stored layers.
 
 The files are written from the order tables, so work grows with them. Nothing here is imported by the library.
 """
@@ -7,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ from farestrata import refs, session
 from farestrata.config import TRIP_COLUMNS, TRIPS_FOLDER, ZONES_FILE, ZONES_FOLDER
 from farestrata.functions import base_name, period_of_file
 from farestrata.operators import bronze, checks, gold, ledger, silver
-from farestrata.plans import bridge, pipeline
-from farestrata.plans.catalog import TRIPS_DATASET, Inputs, _file_of, query, with_use
+from farestrata.plans import bridge, pipeline, suites
+from farestrata.plans.catalog import TRIPS_DATASET, Inputs, _file_of, build_layers, query, stored_raw, with_use
 from farestrata.sources import landing
 from farestrata.sources.tables import FileTable, new_run
 
@@ -182,3 +184,33 @@ def first_run_files(data: Inputs) -> DataFrame:
     """While the target is empty, every file is taken."""
     changed = ledger.rows_of_changed_files(data.raw, data.raw.where(F.lit(False)))
     return changed.groupBy("_source_file").agg(F.count("*").alias("row_count"))
+
+
+@query
+def check_all_layers(data: Inputs) -> DataFrame:
+    """All declared checks and reconciliations of the stored layers.
+
+    Afterwards zone 7 was lost from silver and hour 3 from gold; the calendar is the default one, which begins after the orders.
+    """
+    lake = stored_raw(data, data.raw)
+    build_layers(lake)
+    lake.table("silver.zones").replace(lake.read("silver.zones").where("location_id <> 7"))
+    lake.table("gold.dim_time").replace(lake.read("gold.dim_time").where("time_key <> 3"))
+    return reduce(DataFrame.union, [pipeline.check_layer(lake, layer) for layer in suites.LAYERS])
+
+
+@query
+def gated_layers(data: Inputs) -> DataFrame:
+    """February brings trips without a distance, which breaks no rule but a check of the valid trips: gold is not built."""
+    raw = data.raw.withColumn("trip_distance", F.when(~_file_of(2), F.col("trip_distance")))
+    lake = stored_raw(data, raw)
+    layer, broken = None, []
+    try:
+        pipeline.run_layers(lake)
+    except pipeline.LayerCheckFailed as stop:
+        layer, broken = stop.layer, stop.broken
+    facts = {"bronze": "bronze.trips", "silver": "silver.valid", "gold": "gold.fct_trips"}
+    built = ",".join(name for name, table in facts.items() if lake.table(table).current())
+    # one row per broken check
+    rows = [(layer, b.check, b.table, b.column, b.failures, built) for b in broken]
+    return data.spark.createDataFrame(rows, "layer string, check string, table string, column string, failures bigint, built string")

@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 
 from farestrata.config import MONEY_COLUMNS, TRIP_COLUMNS
+from farestrata.operators.checks import TableChecks
 from farestrata.operators.silver import EVALUATED_COLUMNS, REASONS, REJECTED_COLUMNS, VALID_COLUMNS
+from farestrata.plans import suites
 from farestrata.refs import PAYMENT_TYPES, RATE_CODES, VENDORS
 
 MONEY = list(MONEY_COLUMNS.values())
@@ -336,6 +338,78 @@ _LEDGER_MISMATCHES = """
     left join files f on suffix(f.path, l.source_file)
     where l.status = 'LOADED' and ifnull(f.n, -1) <> l.rows_loaded"""
 
+#: What stands for the stored tables.
+_STORED = {
+    "raw.trips": "raw",
+    "raw.zones": "zones",
+    "raw.ledger": "(select '' as source_file where false)",
+    "bronze.trips": "bronze",
+    "bronze.zones": "(select *, 'zones' as _source_file, 0 as _loaded_at from zones)",
+    "silver.vendors": "vendors",
+    "silver.rate_codes": "rate_codes",
+    "silver.payment_types": "payment_types",
+    "silver.zones": "(select * from zones_clean where location_id <> 7)",
+    "silver.standardized": "judged",
+    "silver.valid": "valid",
+    "silver.rejected": "(select trip_id, rejection_reason from judged where not is_valid)",
+    "silver.quality_summary": "(select distinct _source_period as source_period from judged)",
+    "gold.fct_trips": "fact",
+    "gold.dim_date": f"""(select {_day_key('d')} as date_key, cast(d as date) as full_date
+        from generate_series(timestamp '2024-01-01', timestamp '2030-12-31', interval 1 day) g(d))""",
+    "gold.dim_time": "(select * from hours where time_key <> 3)",
+    "gold.dim_zone": f"(select {_key('location_id')} as zone_key, * from zones_clean)",
+    "gold.dim_vendor": f"(select {_key('vendor_id')} as vendor_key, * from vendors)",
+    "gold.dim_rate_code": f"(select {_key('rate_code_id')} as rate_code_key, * from rate_codes)",
+    "gold.dim_payment_type": f"(select {_key('payment_type_id')} as payment_type_key, * from payment_types)",
+}
+_REPEATED_TRIPS = """(select 1 from valid group by vendor_id, pickup_datetime, dropoff_datetime, pickup_location_id,
+    dropoff_location_id, trip_distance_miles, fare_amount, total_amount having count(*) > 1)"""
+
+
+def _declared(spec: TableChecks) -> list[str]:
+    """One select per declared check."""
+    source = _STORED[spec.table]
+
+    def one(check: str, column: str, failures: str) -> str:
+        return f"""select '{check}' as "check", '{spec.table}' as "table", '{column}' as "column", ({failures}) as failures"""
+
+    def rows(condition: str) -> str:
+        return f"select count(*) from {source} where {condition}"
+
+    found = [one("not_null", c, rows(f"{c} is null")) for c in spec.not_null]
+    found += [
+        one("accepted_values", c, rows(f"{c} not in ({', '.join(repr(v) for v in values)})"))
+        for c, values in spec.accepted_values.items()
+    ]
+    found += [one("accepted_range", c, rows(f"{c} < {a} or {c} > {b}")) for c, (a, b) in spec.accepted_range.items()]
+    found += [one("expression_is_true", e, rows(f"not ({e})")) for e in spec.expressions]
+    found += [
+        one("unique", c, f"select count(*) from (select 1 from {source} where {c} is not null group by {c} having count(*) > 1)")
+        for c in spec.unique
+    ]
+    found += [
+        one("relationships", r.column, rows(f"{r.column} is not null and {r.column} not in (select {r.key} from {_STORED[r.table]})"))
+        for r in spec.relationships
+    ]
+    return found
+
+
+def _all_checks() -> str:
+    between = {
+        "raw": {"raw matches ledger": "0"},
+        "bronze": {"bronze matches raw": "0"},
+        "silver": {"silver keeps every record": "0", "valid holds what was judged valid": "0",
+                   "no repeated trips": f"select count(*) from {_REPEATED_TRIPS}"},
+        "gold": {"fact matches valid trips": "0", "every loaded file reaches the fact": "0"},
+    }
+    found = [select for specs in suites.LAYERS.values() for spec in specs for select in _declared(spec)]
+    found += [
+        f"select 'reconciliation', '{layer}', '{name}', ({failures if failures != '0' else 'select 0'})"
+        for layer, named in between.items() for name, failures in named.items()
+    ]
+    return " union all ".join(found)
+
+
 QUERIES = {
     "bronze_trips": "select * from bronze",
     "append_new_columns": """
@@ -513,6 +587,14 @@ QUERIES = {
         select _source_file, _file_row_number, vendorid, pulocationid,
           if(_source_file >= 'yellow/yellow_tripdata_1995', cbd_congestion_fee, null) as cbd_congestion_fee
         from raw""",
+    "check_all_layers": _all_checks(),
+    "gated_layers": f"""
+        select 'silver' as layer, * , 'bronze,silver' as built from (
+          select 'not_null' as "check", 'silver.valid' as "table", 'trip_distance_miles' as "column", count(*) as failures
+          from valid where trip_distance_miles is null
+          union all
+          select 'reconciliation', 'silver', 'no repeated trips', count(*) from {_REPEATED_TRIPS})
+        where failures > 0""",
     "ledger_vs_rows_theta": _LEDGER_MISMATCHES,
     "ledger_vs_rows_long_list": _LEDGER_MISMATCHES,
     "first_run_files": "select _source_file, count(*) as row_count from raw group by 1",
@@ -522,6 +604,7 @@ QUERIES = {
 
 #: Steps that differ in one query.
 OTHER_STEPS = {
+    "gated_layers": {"raw": f"select * replace (if({_file_of(2)}, null, trip_distance) as trip_distance) from ({CTES['raw']})"},
     "code_tables_from_csv": {
         "vendors": f"select * from (values {_values([v for v in VENDORS if v[0] != 6])}) v(vendor_id, vendor_name)"
     },

@@ -11,7 +11,7 @@ from datetime import UTC, date, datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from farestrata import refs, schemas
@@ -48,6 +48,11 @@ FILE_TABLES = ("raw.trips", "bronze.trips", "silver.standardized", "silver.valid
 class LayerCheckFailed(RuntimeError):
     """A layer broke its checks; the layers above it were not built."""
 
+    def __init__(self, layer: str, broken: list[Row]):
+        found = "; ".join(f"{b.check} {b.table} [{b.column}]: {b.failures}" for b in broken)
+        super().__init__(f"{layer}: {found}")
+        self.layer, self.broken = layer, broken
+
 
 class LoadFailed(RuntimeError):
     """Some files could not be loaded; the others were."""
@@ -415,8 +420,7 @@ def check_layer(lake: Lake, layer: str) -> DataFrame:
 def gate(lake: Lake, layer: str) -> None:
     broken = check_layer(lake, layer).where("failures > 0").collect()
     if broken:
-        found = "; ".join(f"{b.check} {b.table} [{b.column}]: {b.failures}" for b in broken)
-        raise LayerCheckFailed(f"{layer}: {found}")
+        raise LayerCheckFailed(layer, broken)
 
 
 BUILDERS = {"bronze": build_bronze, "silver": build_silver, "gold": build_gold}

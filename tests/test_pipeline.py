@@ -163,3 +163,38 @@ def test_code_tables_of_the_user(spark, folder, tmp_path, monkeypatch):
     pipeline.build_silver(lake)
     assert sorted(map(tuple, lake.read("silver.vendors").collect())) == [(-1, "Unknown"), (1, "One")]
     assert lake.references().rate_codes.count() == 2 and lake.references().payment_types.count() == 1
+
+
+def test_a_group_that_fails_is_halved(spark, folder, tmp_path, monkeypatch):
+    """Files with the same columns are one job; one that fails is found and the others are loaded."""
+    lake = pipeline.Lake(spark, f"{tmp_path}/lake")
+    for month in (1, 2, 3, 4):
+        land(folder, month, [{}] * month)
+    sizes, load = [], pipeline._load_files
+
+    def breaks_on_march(lake, source, entries, loaded_at):
+        sizes.append(len(entries))
+        if any("-03" in entry["source_file"] for entry in entries):
+            raise ValueError("March can't be read")
+        return load(lake, source, entries, loaded_at)
+
+    monkeypatch.setattr(pipeline, "_load_files", breaks_on_march)
+    with pytest.raises(pipeline.LoadFailed, match="2025-03.parquet .FAILED: March"):
+        pipeline.load_trips(lake, str(folder), "2025-01", "2025-04")
+    assert sizes == [4, 2, 2, 1, 1]
+    assert per_file(lake, "raw.trips") == {"2025-01": 1, "2025-02": 2, "2025-04": 4}
+    states = {r.source_file[-10:-8]: (r.status, r.rows_loaded) for r in lake.ledger().collect()}
+    assert states == {"01": ("LOADED", 1), "02": ("LOADED", 2), "03": ("FAILED", None), "04": ("LOADED", 4)}
+
+
+def test_marking_copies_runs_no_job_before_it_is_asked(spark):
+    from farestrata.operators import dedup
+
+    frame = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 4), (2, 5)], "k int, position int")
+    spark.sparkContext.setJobGroup("marking", "")
+    try:
+        marked = dedup.mark_later_copies(frame, ["k"], "position", "later")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("marking")
+        assert sorted(r.position for r in marked.where("later").collect()) == [2, 4]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
