@@ -79,7 +79,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op6_quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.all_ablations(rules.stored_ledger(table(spark, sf_dir, "documents")))
 
 
@@ -125,7 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_url_filters, op2_sharding, op3_mixing, op4_quality, op5_exact_dedup, op6_quality_rules,
-            op6_quality_rules_ablations, op7_suffix_dedup, op8_toxicity, op9_bpe, op10_simhash,
+            quality_rule_ablations, op7_suffix_dedup, op8_toxicity, op9_bpe, op10_simhash,
             op11_conversation_repair, op12_line_dedup, op13_collocations,
         )
     }

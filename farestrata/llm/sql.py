@@ -135,6 +135,18 @@ FROM judged
 """
 
 
+_RULES = ("few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "shouting")
+_POLICIES = ", ".join(
+    f"('{policy}', '{rule}', {1 << i}, {(1 << n) - 1})"
+    for policy, n in (("base", 2), ("v1", 4), ("v2", 6)) for i, rule in enumerate(_RULES[:n])
+)
+ABLATIONS = f"""
+SELECT policy, rule, count(*) FILTER (WHERE (failed_rules & bit) > 0) AS failed,
+       count(*) FILTER (WHERE (failed_rules & whole) = bit) AS alone,
+       count(*) FILTER (WHERE (failed_rules & (whole - bit)) = 0) AS kept_without
+FROM ({OP6}) judged, (VALUES {_POLICIES}) p(policy, rule, bit, whole) GROUP BY policy, rule
+"""
+
 OP12 = rf"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS row FROM documents
@@ -195,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": OP3,
         "op5_exact_dedup": OP5,
         "op6_quality_rules": OP6,
+        "quality_rule_ablations": ABLATIONS,
         "op12_line_dedup": OP12,
         "op13_collocations": OP13,
     }

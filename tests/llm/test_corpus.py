@@ -272,7 +272,7 @@ def test_policies_and_ablations_read_the_stored_ledger(spark):
     found = queries.queries()["op6_quality_rules"](spark, FOLDER)
     assert any("quality-ledger" in file for file in found.inputFiles()) and "MapInArrow" not in found._jdf.queryExecution().toString()
     bits = [r.failed_rules for r in found.collect()]
-    cost = queries.queries()["op6_quality_rules_ablations"](spark, FOLDER).collect()
+    cost = queries.queries()["quality_rule_ablations"](spark, FOLDER).collect()
     assert sorted((r.policy, r.rule) for r in cost) == sorted((p, r) for p, names in rules.POLICIES.items() for r in names)
     for r in cost:
         own, whole = rules.bit(r.rule), rules.mask(r.policy)
