@@ -7,6 +7,9 @@ shards of equal counts: shard sizes differ by one row at most.
 No window spans a source or the table: ranks are counted inside buckets of the shuffle key (and of the fraction) and
 shifted by the counts of the buckets before. Only ids, sources, sizes and checksums are shuffled, never texts.
 
+The shuffle key is a hash of id, checksum and size, so rows that share an id, as rows without one do, spread over the buckets by their
+texts; only rows equal in all three meet in one bucket.
+
 NULL texts have no bytes; a NULL source is a source of its own; NULL ids are ordinary values. Ties are broken by id,
 checksum and size; rows equal in all of them are interchangeable. Other columns are ignored.
 """
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farestrata.llm.common import seeded_rank, stored
+from farestrata.llm.common import stored
 
 #: Rows that one bucket should hold.
 BUCKET_ROWS = 10_000
@@ -27,6 +30,12 @@ def _bucket(share: Column, buckets: int) -> Column:
     return F.least(F.floor(share * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
 
 
+def _shuffle_key(seed: int) -> Column:
+    """60 bits of the seed, the id, the checksum and the size, as DuckDB can compute them too."""
+    parts = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")), "text_crc32", "size")
+    return F.conv(F.substring(F.md5(parts.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def shard(
     docs: DataFrame,
     shards: int,
@@ -38,16 +47,13 @@ def shard(
 ) -> DataFrame:
     """``id, size, text_crc32, law, shard, slot, grown_shard`` for every row; shards and slots count from 0."""
     text = F.col(text_col).cast("binary")
-    rows = stored(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
-            F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("text_crc32"),
-            seeded_rank(id_col, seed).alias("mixed"),
-        ),
-        "shard-rows",
+    sized = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.coalesce(F.crc32(text), F.lit(0)).cast("bigint").alias("text_crc32"),
     )
+    rows = stored(sized.withColumn("mixed", _shuffle_key(seed)), "shard-rows")
     total = rows.count()
     buckets = max(1, -(-total // bucket_rows))
     tied = ["mixed", F.col("id").asc_nulls_first(), "text_crc32", "size"]

@@ -33,15 +33,16 @@ WITH remainders AS (
            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
 ), sized AS (
   SELECT doc_id, source, coalesce(strlen(text), 0) + 1 AS size,
-         ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS mixed,
          CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(list_reduce(
            list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) END AS text_crc32
   FROM documents, remainders
+), keyed AS (
+  SELECT *, ('0x' || substr(md5(concat_ws(':', '7', coalesce(doc_id::VARCHAR, 'null'), text_crc32, size)), 1, 15))::BIGINT AS mixed FROM sized
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY mixed, doc_id NULLS FIRST, text_crc32, size) AS nth,
          count(*) OVER (PARTITION BY source) AS of_source, count(*) OVER () AS total
-  FROM sized
+  FROM keyed
 ), ordered AS (
   SELECT *, row_number() OVER (ORDER BY (2 * nth - 1)::DOUBLE / (2 * of_source)::DOUBLE, source NULLS FIRST, mixed,
                                doc_id NULLS FIRST, text_crc32, size) - 1 AS position

@@ -114,6 +114,17 @@ def test_shards_match_the_mixture(spark, bucket_rows):
     assert max(hot.values()) - min(hot.values()) <= 6
 
 
+def test_rows_without_ids_spread_over_the_buckets(spark):
+    """Half of the rows share one id: their shuffle keys differ, and shards hold equal counts."""
+    frame = docs(spark, [(None if i % 2 else i, f"text {i}") for i in range(4_000)])
+    rows_ = frame.select(F.col("doc_id").alias("id"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.length("text").alias("size"))
+    keys = [r[0] for r in rows_.where("id IS NULL").select(sharding._shuffle_key(7)).collect()]
+    buckets = Counter(key * 20 >> 60 for key in keys)
+    assert len(set(keys)) == 2_000 and max(buckets.values()) < 2 * min(buckets.values())
+    sizes = Counter(r.shard for r in sharding.shard(frame, 16, bucket_rows=200).collect())
+    assert set(sizes.values()) == {250}
+
+
 def test_buckets_do_not_change_shards(spark):
     frame = docs(spark, [(i, f"t{i}") for i in range(200)], ["a", "b", None, "a"] * 50)
     one, many = sharding.shard(frame, 16, bucket_rows=9), sharding.shard(frame, 16)
