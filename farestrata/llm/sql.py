@@ -148,6 +148,39 @@ SELECT policy, rule, count(*) FILTER (WHERE (failed_rules & bit) > 0) AS failed,
 FROM ({OP6}) judged, (VALUES {_POLICIES}) p(policy, rule, bit, whole) GROUP BY policy, rule
 """
 
+# bytes as two hex digits each, as a BLOB can't be cut; long texts in overlapping stretches, as cutting walks from the start
+OP7 = """
+WITH bytes AS (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h FROM documents
+), bases AS (
+  SELECT doc_id, row, h, unnest(range(0, length(h) // 2 - 49, 250)) AS base FROM bytes WHERE length(h) >= 100
+), stretches AS (
+  SELECT doc_id, row, base, substr(h, 2 * base + 1, 2 * (250 + 49)) AS stretch FROM bases
+), starts AS (
+  SELECT *, unnest(range(length(stretch) // 2 - 49)) AS place FROM stretches
+), strings AS (
+  SELECT doc_id, row, base + place AS p, substr(stretch, 2 * place + 1, 100) AS s FROM starts
+), firsts AS (
+  SELECT s, min(doc_id) AS first_doc FROM strings GROUP BY s HAVING count(*) > 1
+), gone AS (
+  SELECT row, p, p > lag(p) OVER (PARTITION BY row ORDER BY p) + 50 IS NOT FALSE AS opens
+  FROM strings JOIN firsts USING (s) WHERE doc_id > first_doc
+), numbered AS (
+  SELECT row, p, count(*) FILTER (WHERE opens) OVER (PARTITION BY row ORDER BY p) AS span FROM gone
+), spans AS (
+  SELECT row, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY row, span
+), pieces AS (
+  SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS from_byte FROM spans
+), cut AS (
+  SELECT row, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * from_byte + 1, 2 * (a - from_byte)), '' ORDER BY a) AS before
+  FROM pieces JOIN bytes USING (row) GROUP BY row
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (row)
+"""
+
 OP12 = rf"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS row FROM documents
@@ -209,6 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_dedup": OP5,
         "op6_quality_rules": OP6,
         "quality_rule_ablations": ABLATIONS,
+        "op7_suffix_dedup": OP7,
         "op12_line_dedup": OP12,
         "op13_collocations": OP13,
     }

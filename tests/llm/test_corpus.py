@@ -333,12 +333,45 @@ def test_passages(spark, monkeypatch, texts, hot):
 def test_crowded_landmarks():
     rows_ = []
     for i in range(4):
-        prints = np.arange(3, dtype="<u8") + 10 * (i % 2)
+        prints = np.tile(np.arange(3, dtype="<u8") + 10 * (i % 2), 2)
         rows_.append((suffix_dedup._pack(np.full(3, 9, "<u4").tobytes()), prints.tobytes(), suffix_dedup._pack(np.full(3, i, "<i8").tobytes())))
     codes = [list(suffix_dedup._unpack(c)) for c in suffix_dedup._answers_for(rows_)]
     assert codes == [[suffix_dedup.COMPARE] * 3] * 2 + [[suffix_dedup.GONE] * 3] * 2
 
 
+def test_segments_that_agree_in_half_a_fingerprint_are_compared():
+    rows_ = []
+    for i in range(4):
+        prints = np.array([5, i % 2], "<u8")
+        rows_.append((suffix_dedup._pack(np.full(1, 9, "<u4").tobytes()), prints.tobytes(), suffix_dedup._pack(np.full(1, i, "<i8").tobytes())))
+    codes = [list(suffix_dedup._unpack(c)) for c in suffix_dedup._answers_for(rows_)]
+    # each content is at least compared as text; what has no equal fingerprint of a smaller id doesn't go
+    assert codes[0] == codes[1] == [suffix_dedup.COMPARE]
+    assert all(c[0] in (suffix_dedup.COMPARE, suffix_dedup.GONE) for c in codes[2:])
+
+
+@pytest.mark.parametrize("letters", ["ab", "a", "abc\0", "\0"])
+def test_longest_previous_factors(letters):
+    rng, length, width = random.Random(len(letters)), 50, suffix_dedup.SEGMENT - 1
+    common = ["".join(rng.choice(letters) for _ in range(length - 2)) for _ in range(3)]
+    strings = [(rng.choice(common) + "".join(rng.choice(letters) for _ in range(rng.randint(2, width + 2)))).encode() for _ in range(150)]
+    ranks = [rng.randint(-2, 20) for _ in strings]
+    ranks[0] = suffix_dedup.BEFORE_ALL
+    suffixes = [(string[at:], rank) for string, rank in zip(strings, ranks, strict=True) for at in range(len(string) - length + 1)]
+    text = b"".join(strings)
+    begins = np.cumsum([0, *map(len, strings)])
+    starts = np.array([begins[n] + at for n, string in enumerate(strings) for at in range(len(string) - length + 1)])
+    sizes, of = np.array([len(x) for x, _ in suffixes]), np.array([r for _, r in suffixes])
+    found = suffix_dedup._longest_previous_factors(text, starts, sizes, of, length)
+
+    def shared(a, b):
+        return next((n for n, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    for (own, rank), factor in zip(suffixes, found.tolist(), strict=True):
+        longest = max((shared(own, other) for other, r in suffixes if r < rank), default=0)
+        assert factor == (longest if longest >= length else 0)
+
+
 def test_passages_on_given_documents(spark):
     frame = table(spark, FOLDER, "documents")
     found = suffix_dedup.passages(frame, block_bytes=100_000, with_text=True).collect()
