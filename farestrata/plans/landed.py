@@ -7,10 +7,10 @@ The files are written from the order tables, so work grows with them. Nothing he
 from __future__ import annotations
 
 import uuid
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farestrata import refs, session
@@ -18,9 +18,11 @@ from farestrata.config import TRIP_COLUMNS, TRIPS_FOLDER, ZONES_FILE, ZONES_FOLD
 from farestrata.functions import base_name, period_of_file
 from farestrata.operators import bronze, checks, gold, ledger, silver
 from farestrata.plans import bridge, pipeline, suites
-from farestrata.plans.catalog import TRIPS_DATASET, Inputs, _file_of, build_layers, query, stored_raw, with_use
+from farestrata.plans.catalog import TRIPS_DATASET, Inputs, _file_of, build_layers, query, reload_march, stored_raw, with_use
 from farestrata.sources import landing
-from farestrata.sources.tables import FileTable, new_run
+from farestrata.sources.files import Files
+from farestrata.sources.tables import LOADS, FileTable, new_run
+from farestrata.streaming import arrivals
 
 #: Spellings that files use from 1995 on, when they also bring the newest fee and a column that nobody expects.
 PUBLISHED = {"vendorid": "VendorID", "ratecodeid": "RatecodeID", "pulocationid": "PULocationID", "airport_fee": "Airport_fee"}
@@ -31,33 +33,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{session.shared_folder(spark)}/{label}-{new_run()}"
 
 
-class Files:
-    """Files by path in any store that Spark writes to."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.path = spark._jvm.org.apache.hadoop.fs.Path
-        self.store = self.path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def matching(self, pattern: str) -> list[str]:
-        return [status.getPath().toString() for status in self.store.globStatus(self.path(pattern))]
-
-    def move(self, old: str, new: str) -> None:
-        """Put a file in the place of another one."""
-        self.store.mkdirs(self.path(new).getParent())
-        self.store.delete(self.path(new), False)
-        if not self.store.rename(self.path(old), self.path(new)):
-            raise OSError(f"{old} could not be moved to {new}")
-
-    def remove(self, pattern: str) -> None:
-        for found in self.matching(pattern):
-            self.store.delete(self.path(found), True)
-
-    def overwrite(self, path: str, content: bytes) -> None:
-        out = self.store.create(self.path(path), True)
-        out.write(bytearray(content))
-        out.close()
-
-
 def publish(trips: DataFrame, folder: str) -> None:
     """Write the trips as monthly files of one landing folder, each in the order of its row numbers."""
     files = Files(trips.sparkSession, folder)
@@ -167,6 +142,54 @@ def stored_schema_growth(data: Inputs) -> DataFrame:
     return table.read().select("_source_file", "_file_row_number", "vendorid", "pulocationid", "cbd_congestion_fee")
 
 
+@query
+def arrived_files(data: Inputs) -> DataFrame:
+    """The fact from files that arrive in two batches, each noticed by the file trigger and loaded at a time of its own (``arrival``)."""
+    spark, folder = data.spark, new_folder(data.spark, "landing")
+    lake, seen = pipeline.Lake(spark, new_folder(spark, "lake")), new_folder(spark, "seen")
+    early = F.month(period_of_file("_source_file")) <= 6
+    for batch in (early, ~early):
+        publish(data.raw.where(batch), folder)
+        arrivals.follow(lake, folder, seen, job=pipeline.load_trips).awaitTermination()
+    raw = lake.read("raw.trips")
+    # one row per load
+    arrival = F.row_number().over(Window.orderBy("_loaded_at")).alias("arrival")
+    loads = raw.select("_loaded_at").distinct().select("_loaded_at", arrival)
+    fact = gold.fct_trips(silver.valid_trips(silver.standardized_trips(bronze.bronze_trips(raw), data.references)))
+    return fact.join(loads, "_loaded_at").drop("_loaded_at")
+
+
+@query
+def compacted_loads(data: Inputs) -> DataFrame:
+    """All files, two reloads of March and June (without rows) and a load that never became current; then what isn't used is removed.
+
+    Per file: the rows that are read, the loads that are listed and the folders that hold them.
+    """
+    table = FileTable(data.spark, new_folder(data.spark, "compacted"))
+    table.replace(data.raw)
+    reload_march(table)
+    reload_march(table)
+    table.stage(table.read().where(_file_of(9)), new_run())
+    table.compact(keep=timedelta(0))
+    stored = Files(data.spark, table.data)
+    # one name per file
+    held = [(name.removeprefix("_part=") + ".parquet",) for run in stored.names_in(table.data)
+            for name in stored.names_in(f"{table.data}/{run}") if name.startswith("_part=")]
+    folders = data.spark.createDataFrame(held, "file string").groupBy("file").agg(F.count("*").alias("folders"))
+    listed = (
+        data.spark.read.schema(LOADS).option("recursiveFileLookup", True).parquet(table.loads)
+        .groupBy("source_file").agg(F.count("*").alias("listed"))
+    )
+    rows = table.read().groupBy("_source_file").agg(
+        F.count("*").alias("row_count"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("total"))
+    return (
+        listed.join(rows, F.col("source_file") == F.col("_source_file"), "left")
+        .join(folders, base_name("source_file") == F.col("file"), "left")
+        .select("source_file", F.coalesce("row_count", F.lit(0)).alias("row_count"), "total", "listed",
+                F.coalesce("folders", F.lit(0)).alias("folders"))
+    )
+
+
 @query
 def ledger_vs_rows_theta(data: Inputs) -> DataFrame:
     """``ledger_vs_rows`` by the condition as written: the name in the table ends in the one in the ledger."""

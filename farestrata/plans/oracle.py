@@ -587,6 +587,13 @@ QUERIES = {
         select _source_file, _file_row_number, vendorid, pulocationid,
           if(_source_file >= 'yellow/yellow_tripdata_1995', cbd_congestion_fee, null) as cbd_congestion_fee
         from raw""",
+    "arrived_files": f"select {_doubles(_FACT[:-1])}, if({_file_of(1, 2, 3, 4, 5, 6)}, 1, 2) as arrival from fact",
+    "compacted_loads": """
+        select path as source_file, if(m = 6, 0, n) as row_count, if(m <> 6, t + if(m = 3, 2 * n, 0), null) as total,
+          1 as listed, if(m = 6, 0, 1) as folders
+        from files left join (
+          select _source_file as path, cast(sum(cast(total_amount as decimal(18,2))) as double) as t from raw group by 1
+        ) totals using (path)""",
     "check_all_layers": _all_checks(),
     "gated_layers": f"""
         select 'silver' as layer, * , 'bronze,silver' as built from (
@@ -609,6 +616,10 @@ OTHER_STEPS = {
         "vendors": f"select * from (values {_values([v for v in VENDORS if v[0] != 6])}) v(vendor_id, vendor_name)"
     },
     "layered_reload": {"landed": CTES["raw"], "raw": _RELOADED.format(source="landed")},
+    "arrived_files": {"landed": CTES["raw"], "raw": """
+        select * replace (row_number() over (partition by _source_file order by _file_row_number) as _file_row_number,
+          if(_source_file >= 'yellow/yellow_tripdata_1995', cbd_congestion_fee, null) as cbd_congestion_fee)
+        from landed"""},
     "layered_full_refresh": {"flagged": CTES["flagged"].replace("not between 0 and 200", "not between 0 and 100")},
 }
 

@@ -7,7 +7,7 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -32,7 +32,7 @@ from farestrata.operators import bronze, checks, gold, ledger, marts, silver
 from farestrata.operators.dedup import stored_groups
 from farestrata.plans import suites
 from farestrata.sources import landing
-from farestrata.sources.tables import FileTable, new_run
+from farestrata.sources.tables import KEEP, FileTable, new_run
 
 PARALLEL = 4
 log = logging.getLogger(__name__)
@@ -89,6 +89,12 @@ class Lake:
         }
         return views[name]() if name in views else self.table(name).read()
 
+    def compact(self, keep: timedelta = KEEP) -> dict[str, int]:
+        """Remove from every table what was superseded more than ``keep`` ago; folders removed per table."""
+        names = [*WHOLE_TABLES, *FILE_TABLES]
+        removed = _side_by_side(lambda name: self.table(name).compact(keep), names)
+        return dict(zip(names, removed, strict=True))
+
     def references(self) -> refs.References:
         return refs.References(
             vendors=self.read("silver.vendors"),

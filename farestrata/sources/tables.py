@@ -11,14 +11,16 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farestrata.functions import base_name
+from farestrata.sources.files import Files
 
 LOADS = T.StructType([
     T.StructField("source_file", T.StringType(), False),
@@ -29,6 +31,8 @@ LOADS = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("note", T.StringType()),
 ])
+#: How long superseded rows stay readable for what began to read them before.
+KEEP = timedelta(days=7)
 WHOLE = "*"
 WHOLE_PART = "whole"
 
@@ -48,6 +52,14 @@ def new_run() -> str:
     return f"r{datetime.now(UTC):%Y%m%dT%H%M%S%f}{uuid.uuid4().hex[:6]}"
 
 
+def _began_before(run: str, moment: datetime) -> bool:
+    """By the time in the name of :func:`new_run`; other folders are not ours."""
+    try:
+        return datetime.strptime(run[1:22], "%Y%m%dT%H%M%S%f").replace(tzinfo=UTC) <= moment
+    except ValueError:
+        return False
+
+
 class FileTable:
     """A Parquet table under ``root``; ``whole`` tables are replaced in one piece.
 
@@ -102,6 +114,45 @@ class FileTable:
                    for f, n in rows.items()]
         self.spark.createDataFrame(entries, LOADS).coalesce(1).write.parquet(f"{self.loads}/{run}")
 
+    def compact(self, keep: timedelta = KEEP) -> int:
+        """Shorten the list of loads and remove the rows that nothing uses any more; returns the number of folders removed.
+
+        What goes was superseded more than ``keep`` ago, or belongs to a run that began as long ago and never became current. So ``keep``
+        must be longer than any load, and than any query on rows read before. The list itself is replaced at once: a query that is
+        just being built may have to be built again. If this ends half-way, the next call does the rest.
+        """
+        files, until = Files(self.spark, self.data), datetime.now(UTC) - keep
+        lists = [f"{self.loads}/{name}" for name in files.names_in(self.loads)]
+        if not lists:
+            return 0
+        # a call that ended between writing and removing leaves some loads in two lists
+        listed = self.spark.read.schema(LOADS).option("recursiveFileLookup", True).parquet(*lists).distinct()
+        following = F.lead("committed_at").over(Window.partitionBy("source_file").orderBy("committed_at"))
+        used = (
+            listed.withColumn("replaced_at", following)
+            .where(F.col("replaced_at").isNull() | (F.col("replaced_at") > F.lit(until)))
+            .drop("replaced_at")
+        )
+        # one row per file, and per load of the last days
+        folders = {row.load_id for row in used.select("load_id").collect()}
+        if len(lists) > 1 or listed.count() > len(folders):
+            used.coalesce(1).write.parquet(f"{self.loads}/{new_run()}")
+            for old in lists:
+                files.remove_one(old)
+        removed = 0
+        for run in files.names_in(self.data):
+            if not _began_before(run, until):
+                continue
+            parts = [name for name in files.names_in(f"{self.data}/{run}") if name.startswith("_part=")]
+            unused = [name for name in parts if f"{run}/{unquote(name)}" not in folders]
+            if len(unused) == len(parts):
+                files.remove_one(f"{self.data}/{run}")
+            else:
+                for name in unused:
+                    files.remove_one(f"{self.data}/{run}/{name}")
+            removed += len(unused)
+        return removed
+
     def replace(
         self, df: DataFrame, files: Iterable[str] | None = None, built_from: dict[str, str] | None = None
     ) -> dict[str, int]:

@@ -7,6 +7,8 @@ finds it changed and reloads it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,8 +21,14 @@ from farestrata.plans.pipeline import Lake
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def follow(lake: Lake, source: str, checkpoint: str) -> StreamingQuery:
-    """Process everything that has arrived since the last call, then stop."""
+def follow(
+    lake: Lake, source: str, checkpoint: str, job: Callable[[Lake, str, str, str], object] | None = None
+) -> StreamingQuery:
+    """Process everything that has arrived since the last call, then stop.
+
+    ``job`` gets the lake, the folder and the first and last month that arrived; it is ``pipeline.run`` if none is given. A batch that is
+    repeated after a failure finds in the ledger what it had loaded.
+    """
     files = (
         lake.spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -32,7 +40,7 @@ def follow(lake: Lake, source: str, checkpoint: str) -> StreamingQuery:
     def load(arrived: DataFrame, _batch: int) -> None:
         first, last = arrived.agg(F.min("period"), F.max("period")).first()
         if first is not None:
-            pipeline.run(lake, source, first, last)
+            (job or pipeline.run)(lake, source, first, last)
 
     return (
         files.writeStream.foreachBatch(load)

@@ -1,8 +1,12 @@
+import time
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from farestrata.operators import bronze
-from farestrata.sources.tables import FileTable, new_run
+from farestrata.sources.files import Files
+from farestrata.sources.tables import LOADS, FileTable, new_run
 
 A, B = "yellow/yellow_tripdata_2025-01.parquet", "yellow/yellow_tripdata_2025-02.parquet"
 
@@ -88,3 +92,55 @@ def test_types_that_cannot_be_widened_are_refused(spark, tmp_path):
     table.replace(spark.sql("select 2.5D as n, 'b.parquet' as _source_file"), ["b.parquet"])
     with pytest.raises(TypeError, match="column n"):
         table.read()
+
+
+def listed(table):
+    return table.spark.read.schema(LOADS).option("recursiveFileLookup", True).parquet(table.loads)
+
+
+def folders(table):
+    files = Files(table.spark, table.data)
+    return sorted((run, part) for run in files.names_in(table.data) for part in files.names_in(f"{table.data}/{run}") if part[0] == "_")
+
+
+def test_compacting_keeps_what_is_current_and_what_is_young(spark, tmp_path):
+    table = FileTable(spark, f"{tmp_path}/t")
+    assert table.compact() == 0
+    table.replace(rows(spark, (A, 1), (B, 2)), [A, B])
+    before = table.read()
+    table.replace(rows(spark, (A, 3)), [A])
+    table.stage(rows(spark, (B, 8)), new_run())
+    assert table.compact() == 0 and len(Files(spark, table.loads).names_in(table.loads)) == 1
+    # the list is short, but what was superseded lately is still listed and readable
+    assert listed(table).count() == 3 and before.count() == 2 and held(table) == [("2025-01", 3), ("2025-02", 2)]
+    time.sleep(0.01)
+    assert table.compact(timedelta(0)) == 2
+    assert listed(table).count() == 2 and held(table) == [("2025-01", 3), ("2025-02", 2)]
+    assert len([f for f in folders(table) if f[1].startswith("_part=")]) == 2
+    assert table.compact(timedelta(0)) == 0
+    table.replace(rows(spark, (A, 4)), [A])
+    assert held(table) == [("2025-01", 4), ("2025-02", 2)]
+
+
+def test_compacting_again_after_it_ended_half_way(spark, tmp_path, monkeypatch):
+    table = FileTable(spark, f"{tmp_path}/t", whole=True)
+    for n in range(3):
+        table.replace(spark.range(n + 1))
+
+    def stop(self, path):
+        raise OSError("gone")
+
+    with monkeypatch.context() as broken, pytest.raises(OSError, match="gone"):
+        broken.setattr(Files, "remove_one", stop)
+        table.compact(timedelta(0))
+    assert table.read().count() == 3 and listed(table).count() == 4
+    assert table.compact(timedelta(0)) == 2
+    assert table.read().count() == 3 and listed(table).count() == 1
+
+
+def test_folders_of_others_stay(spark, tmp_path):
+    table = FileTable(spark, f"{tmp_path}/t")
+    table.replace(rows(spark, (A, 1)), [A])
+    (tmp_path / "t/data/notes").mkdir()
+    table.compact(timedelta(0))
+    assert "notes" in Files(spark, table.data).names_in(table.data) and held(table) == [("2025-01", 1)]
