@@ -7,10 +7,11 @@ zero, the step goes back on it instead of fitting the toxic documents hidden amo
 different seeds are averaged.
 
 Features are the words of a text, lower-cased, and their beginnings of 4 and 5 letters, each once per document, so that a long text
-doesn't dilute what it says and inflected forms count together. Features whose
-shares in both sets differ by ``APART`` standard deviations are kept, ``FEATURES`` of them at most.
+doesn't dilute what it says and inflected forms count together; words have three letters or more. Features are counted over the
+toxic documents and over all unlabelled ones. Those whose shares in both sets differ by ``APART`` standard deviations are kept, the ``FEATURES``
+that differ most if there are more.
 
-Learning is bounded: at most about ``MOST_TOXIC`` toxic and ``MOST_OPEN`` unlabelled documents, chosen by hash, from the rows
+What the classifiers are fitted on is bounded: at most about ``MOST_TOXIC`` toxic and ``MOST_OPEN`` unlabelled documents, chosen by hash, from the rows
 outside the held-out fold. Scoring reads every document whole. NULL and empty texts are scored by the bias alone. Repeated rows
 score alike; without any toxic label every score is 0. Labels with NULLs are skipped; other columns are ignored.
 """
@@ -47,8 +48,17 @@ def _parts(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)]
 
 
-def features_of(text: str | None) -> set[str]:
-    return {part for word in set(LETTERS.findall((text or "").lower())) for part in _parts(word)}
+def features_of(text: str | None, known: dict[str, tuple[str, ...]] | None = None) -> set[str]:
+    """``known``: features of words seen before; grows to ``CACHE`` words."""
+    known, found = {} if known is None else known, set()
+    for word in set(LETTERS.findall((text or "").lower())):
+        own = known.get(word)
+        if own is None:
+            if len(known) >= CACHE:
+                known.clear()
+            own = known[word] = tuple(_parts(word))
+        found.update(own)
+    return found
 
 
 class Model:
@@ -133,7 +143,8 @@ def learn(
         marked.where((F.col("label") == 1) & chosen("id", 5, most_toxic, toxic)).select("id"), "toxic-confirmed")
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     all_open = texts.where(~held_out("doc"))
-    picked = all_open.where(chosen("doc", 9, most_open, all_open.count())).select(F.lit(0).alias("confirmed"), "text")
+    every_open = all_open.count()
+    picked = all_open.where(chosen("doc", 9, most_open, every_open)).select(F.lit(0).alias("confirmed"), "text")
     shown = texts.join(confirmed, F.col("doc") == F.col("id"), "left_semi").select(F.lit(1).alias("confirmed"), "text")
     sample = stored(shown.union(picked), "toxic-sample")
     n_toxic, n_open = sample.agg(F.coalesce(F.sum("confirmed"), F.lit(0)), F.coalesce(F.sum(1 - F.col("confirmed")), F.lit(0))).first()
@@ -141,20 +152,22 @@ def learn(
         return Model([], np.zeros((0, 0)), np.zeros(0))
 
     def counted(batches) -> Iterator:
+        parts: dict[str, tuple[str, ...]] = {}
         for marks, texts in batches:
             sides = Counter(), Counter()
             for mark, text in zip(marks, texts, strict=True):
-                sides[mark].update(features_of(text))
+                sides[mark].update(features_of(text, parts))
             names = list(sides[0] | sides[1])
             yield names, [sides[0][f] for f in names], [sides[1][f] for f in names]
 
+    # the toxic documents of the sample and all unlabelled ones; counts are summed in each task before they are shuffled
     counts = (
-        map_rows(sample, counted, "name string, open bigint, toxic bigint")
+        map_rows(sample.where("confirmed = 1").union(all_open.select(F.lit(0), "text")), counted, "name string, open bigint, toxic bigint")
         .groupBy("name").agg(F.sum("open").alias("open"), F.sum("toxic").alias("toxic"))
     )
     # the arc sine of the square root of a share has the same variance whatever the share
-    gap = 2 * F.abs(F.asin(F.sqrt(F.col("toxic") / n_toxic)) - F.asin(F.sqrt(F.col("open") / n_open)))
-    apart = counts.withColumn("gap", gap / (1 / n_toxic + 1 / n_open) ** 0.5).where(F.col("gap") >= APART)
+    gap = 2 * F.abs(F.asin(F.sqrt(F.col("toxic") / n_toxic)) - F.asin(F.sqrt(F.col("open") / every_open)))
+    apart = counts.withColumn("gap", gap / (1 / n_toxic + 1 / every_open) ** 0.5).where(F.col("gap") >= APART)
     names = [r.name for r in apart.orderBy(F.desc("gap"), "name").limit(FEATURES).collect()]
     if not names:
         return Model([], np.zeros((0, 0)), np.zeros(0))

@@ -193,6 +193,27 @@ def test_held_out_accuracy(spark, name, limit, least):
         assert sum(own) / len(own) >= least
 
 
+def test_features_are_counted_over_all_unlabelled_documents(spark, monkeypatch):
+    """A word of few toxic documents that most unlabelled ones have too is no sign, however few of those are learnt from."""
+    texts = [(i, ("badword " if i < 60 else "") + "usual words here") for i in range(600)]
+    counted = []
+    whole = toxicity.map_rows
+
+    def noted(df, run, schema):
+        counted.append((schema, df.count()))
+        return whole(df, run, schema)
+
+    monkeypatch.setattr(toxicity, "map_rows", noted)
+    labels = spark.createDataFrame([(i, i < 60) for i in range(0, 600, 3)], "doc_id bigint, toxic boolean").select(
+        "doc_id", toxicity.F.col("toxic").cast("int").alias("toxic"))
+    learnt = toxicity.learn(docs(spark, texts), labels, most_open=50)
+    n_open = docs(spark, texts).where(~toxicity.held_out("doc_id")).count()
+    n_toxic = labels.where("toxic = 1").where(~toxicity.held_out("doc_id")).count()
+    assert counted[0] == ("name string, open bigint, toxic bigint", n_open + n_toxic)
+    assert set(learnt.at) == {"badword", "badw*", "badwo*"}
+    assert toxicity.features_of(None) == set() and toxicity.features_of("a Naïve na") == {"naïve", "naïv*", "naïve*"}
+
+
 @pytest.mark.parametrize("model", [quality, toxicity])
 def test_learning_from_little(spark, odd, nothing, model):
     schema = "doc_id bigint, quality int, toxic int, text string"
