@@ -6,9 +6,10 @@ any other.
 
 **Join.** Copies collapse first: the join sees distinct fingerprints. Two fingerprints that differ in at most ``k``
 bits agree in one of ``k + 1`` blocks of bits, so each fingerprint is rotated to bring one block after the other to
-the front; below that block stands a binary trie. Pairs of trie nodes are traversed together, adding up differing bits, and a pair of
-nodes is left as soon as the sum exceeds ``k``. A block value with more fingerprints than ``CROWD`` is divided further: its next
-bits name the trie nodes of one level, and every pair of nodes within the budget becomes a group of its own.
+the front, and the nodes at the depth of a block need only be paired with themselves. Below them pairs of trie nodes are traversed
+together: the bits in which the prefixes differ add up, a pair is left as soon as the sum exceeds ``k``, and else the node whose
+members part first is split there. A pair of nodes with more than ``CROWD`` members is divided over tasks by the same
+step on tables: nodes some bits deeper are counted and joined with the nodes within the budget, again until no pair is crowded.
 
 **Components.** A task reports a spanning forest of the links it finds (a fingerprint and the smallest one reachable in that
 group), so links grow with fingerprints, not with pairs. Large-star and small-star rounds on stored tables turn links into components.
@@ -21,10 +22,9 @@ rows by id and text digest, so what it drops never depends on an id that other t
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +34,12 @@ from farestrata.llm.exact_dedup import digest
 
 BITS = 64
 SEED = 42
-#: Fingerprints with one block value above which the block's group is divided by trie nodes.
-CROWD = 200_000
-#: Trie levels by which a crowded group is divided.
+#: Members of a pair of nodes above which it is divided over tasks.
+CROWD = 1 << 16
+#: Trie levels of one division.
 DIVIDE = 8
-#: A pair of nodes with no more leaf pairs than this is compared leaf by leaf.
-LEAVES = 64
 #: Node pairs expanded at a time; bounds memory.
-CHUNK = 1 << 17
+CHUNK = 1 << 15
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -80,80 +78,86 @@ def fingerprints(
 
 # --- the trie, inside one task ------------------------------------------------------------------------------
 
+#: The first 0 to 64 bits.
+_FIRST = np.array([((1 << n) - 1) << (BITS - n) for n in range(BITS + 1)], np.uint64)
 
-def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
+
+def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many first bits two keys agree."""
+    parted = a ^ b
+    for by in (1, 2, 4, 8, 16, 32):
+        parted = parted | (parted >> np.uint64(by))
+    return BITS - np.bitwise_count(parted).astype(np.int64)
+
+
+def node_ranges(keys: np.ndarray, nodes: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the members of nodes, named by their first bits, begin and end in the sorted ``keys``."""
+    first = nodes.view(np.uint64) << (BITS - depths).astype(np.uint64)
+    return np.searchsorted(keys, first), np.searchsorted(keys, first | ~_FIRST[depths], "right")
 
 
 def trie_links(
-    keys: np.ndarray, roots: np.ndarray, depth: int, k: int, spent: int = 0
+    keys: np.ndarray, roots: np.ndarray, k: int, settled: Callable[[np.ndarray], np.ndarray] | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of ``keys`` (sorted, distinct, unsigned) within ``k`` bits, in bounded portions.
 
     A node is a range of ``keys`` whose members agree in their first bits; ``roots`` are pairs of ranges
-    (low, high, low, high) to start from at ``depth``, which differ in ``spent`` bits above it. A node paired with
-    itself yields its two halves with themselves and with each other.
+    (low, high, low, high) to start from. A node paired with itself yields its two halves with themselves and with
+    each other. ``settled`` tells which pairs need no visit any more; pairs inside a node come before those across.
     """
-    stack = [(depth, roots, np.full(len(roots), spent, np.int8))]
+    stack = [roots]
     while stack:
-        level, pairs, spent = stack.pop()
+        pairs = stack.pop()
         if len(pairs) > CHUNK:
-            stack += [(level, pairs[CHUNK:], spent[CHUNK:])]
-            pairs, spent = pairs[:CHUNK], spent[:CHUNK]
-        many = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
-        small = (many <= LEAVES) | (level >= BITS)
-        if small.any():
-            yield from _leaf_pairs(keys, pairs[small], many[small], k)
-        pairs, spent = pairs[~small], spent[~small]
-        if not len(pairs):
+            stack.append(pairs[CHUNK:])
+            pairs = pairs[:CHUNK]
+        if settled is not None:
+            pairs = pairs[~settled(pairs)]
+        one, two = keys[pairs[:, 0]], keys[pairs[:, 2]]
+        depth_one, depth_two = _agreeing(one, keys[pairs[:, 1] - 1]), _agreeing(two, keys[pairs[:, 3] - 1])
+        level = np.minimum(depth_one, depth_two)
+        near = np.bitwise_count((one ^ two) & _FIRST[level]) <= k
+        leaves = near & (level == BITS) & (pairs[:, 0] != pairs[:, 2])
+        if leaves.any():
+            yield pairs[leaves, 0], pairs[leaves, 2]
+        near &= level < BITS
+        if not near.any():
             continue
-        same = pairs[:, 0] == pairs[:, 2]
-        left, right = _split(keys, pairs[:, 0:2], level), _split(keys, pairs[:, 2:4], level)
-        lo1, hi1, lo2, hi2 = pairs.T
-        quads = [
-            (lo1, left, lo2, right, 0, np.ones(len(pairs), bool)),
-            (left, hi1, right, hi2, 0, np.ones(len(pairs), bool)),
-            (lo1, left, right, hi2, 1, np.ones(len(pairs), bool)),
-            (left, hi1, lo2, right, 1, ~same),
-        ]
-        grown, cost = [], []
-        for a, b, c, d, more, take in quads:
-            take = take & (b > a) & (d > c) & (spent + more <= k)
-            grown.append(np.stack([a, b, c, d], axis=1)[take])
-            cost.append((spent + more)[take])
-        stack.append((level + 1, np.concatenate(grown), np.concatenate(cost).astype(np.int8)))
-
-
-def _split(keys: np.ndarray, nodes: np.ndarray, level: int) -> np.ndarray:
-    """Where, in each node, the keys with the bit of ``level`` set begin."""
-    bit = np.uint64(1 << (BITS - 1 - level))
-    above = np.uint64(((1 << level) - 1) << (BITS - level)) if level else np.uint64(0)
-    first_set = (keys[nodes[:, 0]] & above) | bit
-    return np.clip(np.searchsorted(keys, first_set), nodes[:, 0], nodes[:, 1])
-
-
-def _leaf_pairs(keys: np.ndarray, pairs: np.ndarray, many: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ends = np.cumsum(many)
-    start = 0
-    while start < len(pairs):
-        base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + 8 * CHUNK, "right")))
-        part, size = pairs[start:stop], many[start:stop]
-        own = np.repeat(np.arange(len(part)), size)
-        at = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-        width = (part[:, 3] - part[:, 2])[own]
-        a, b = part[own, 0] + at // width, part[own, 2] + at % width
-        near = (a < b) & (_differing(keys[a], keys[b]) <= k)
-        yield a[near], b[near]
-        start = stop
-
-
-def spanning(keys: np.ndarray, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The smallest index that each index reaches over ``links``."""
+        pairs, level = pairs[near], level[near]
+        halves_one = _halves(keys, pairs[:, 0:2], level, depth_one[near] == level)
+        halves_two = _halves(keys, pairs[:, 2:4], level, depth_two[near] == level)
+        inside = pairs[:, 0] == pairs[:, 2]
+        within, across = [], []
+        for i, a in enumerate(halves_one):
+            for j, b in enumerate(halves_two):
+                grown = np.concatenate([a, b], axis=1)
+                there = (a[:, 1] > a[:, 0]) & (b[:, 1] > b[:, 0])
+                (within if i == j else across).append(grown[there & ~inside if i > j else there])
+        stack.append(np.concatenate(within + across))
+
+
+def _halves(keys: np.ndarray, nodes: np.ndarray, level: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two children of each node at the bit after ``level``; a node that does not part there stays whole."""
+    first_set = (keys[nodes[:, 0]] & _FIRST[level]) | (_FIRST[level + 1] ^ _FIRST[level])
+    cut = np.where(parts, np.searchsorted(keys, first_set), nodes[:, 1])
+    return np.stack([nodes[:, 0], cut], axis=1), np.stack([cut, nodes[:, 1]], axis=1)
+
+
+def spanning(keys: np.ndarray, roots: np.ndarray, k: int) -> np.ndarray:
+    """The smallest index that each index reaches over links below ``roots``.
+
+    Pairs of nodes whose members are all connected already are not traversed, so a dense group costs no visit per link.
+    """
     root = np.arange(len(keys))
-    for a, b in links:
+
+    def settled(pairs: np.ndarray) -> np.ndarray:
+        changes = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+        lo1, hi1, lo2, hi2 = pairs.T
+        return (root[lo1] == root[lo2]) & (changes[lo1] == changes[hi1 - 1]) & (changes[lo2] == changes[hi2 - 1])
+
+    for a, b in trie_links(keys, roots, k, settled):
         a, b = root[a], root[b]
-        while len(a):
+        while True:
             low, high = np.minimum(a, b), np.maximum(a, b)
             apart = low < high
             low, high = low[apart], high[apart]
@@ -178,74 +182,98 @@ def _top(column: str, bits: int):
     return F.shiftrightunsigned(F.col(column), BITS - bits)
 
 
+PAIR = ("turn", "node", "other")
+
+
+def _divided(rows: DataFrame, depth: int, step: int, k: int) -> DataFrame:
+    """Crowded pairs of nodes (``rows`` with one row per pair and member) as pairs of nodes ``step`` bits deeper.
+
+    The pairs come from a join of the deeper nodes, which are few; a member is copied only to pairs whose nodes both exist.
+    """
+    inner = rows.withColumn("own", _top("key", depth + step))
+    nodes = stored(inner.groupBy(*PAIR, "spent", "own").agg(F.count("*").alias("members")), "simhash-nodes")
+    flips = F.array(*[F.lit(f) for f in range(1 << step) if f.bit_count() <= k])
+    mask = F.lit((1 << step) - 1).cast("bigint")
+    partner = F.shiftleft("other", step).bitwiseOR(F.col("own").bitwiseAND(mask)).bitwiseXOR(F.col("flip").cast("bigint"))
+    mates = (
+        nodes.where(F.shiftrightunsigned("own", step) == F.col("node"))
+        .withColumn("flip", F.explode(F.filter(flips, lambda f: F.bit_count(f) + F.col("spent") <= k)))
+        .select(*PAIR, "own", partner.alias("mate"), (F.col("spent") + F.bit_count("flip")).cast("int").alias("spent"), "members")
+        .where("node <> other OR mate >= own")
+    )
+    right = nodes.select(*PAIR, F.col("own").alias("mate"), F.col("members").alias("more"))
+    members = F.when(F.col("own") == F.col("mate"), F.col("members")).otherwise(F.col("members") + F.col("more"))
+    pairs = stored(
+        mates.join(right, [*PAIR, "mate"]).select(*PAIR, "own", "mate", "spent", members.alias("members")).where("members > 1"),
+        "simhash-pairs",
+    )
+    sides = pairs.withColumn("at", F.explode(F.array_distinct(F.array("own", "mate"))))
+    target = sides.select(
+        *PAIR, F.col("at").alias("own"), F.col("own").alias("first"), F.col("mate").alias("second"),
+        F.col("spent").alias("sum"), "members",
+    )
+    return stored(
+        inner.drop("spent", "members").join(target, [*PAIR, "own"])
+        .select("turn", "key", F.col("first").alias("node"), F.col("second").alias("other"), F.col("sum").alias("spent"), "members"),
+        "simhash-divided",
+    )
+
+
 def links(distinct: DataFrame, k: int = 3, crowd: int | None = None) -> DataFrame:
     """``a, b``: fingerprints joined to the smallest one of their group; no link between distinct texts is lost.
 
     ``distinct`` has one row per fingerprint, ``fp``.
     """
-    crowd = crowd or CROWD
-    width = BITS // (k + 1)
+    crowd = max(crowd or CROWD, 2)
+    depth = width = BITS // (k + 1)
     turns = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), _rotated("fp", i * width).alias("key"))
                                 for i in range(k + 1)])).alias("t")
-    rows = stored(distinct.select(turns).select("t.turn", "t.key", _top("t.key", width).alias("block")), "simhash-turns")
-    sizes = rows.groupBy("turn", "block").agg(F.count("*").alias("members")).where("members > 1")
-    crowded = stored(sizes.where(F.col("members") > crowd).drop("members"), "simhash-crowded")
-    # a block value is one group; crowded ones have a group per pair of nodes
-    plain = rows.join(crowded, ["turn", "block"], "left_anti")
-    level = _top("key", width + DIVIDE).bitwiseAND(F.lit((1 << DIVIDE) - 1)).cast("int")
-    partners = F.array(*[F.lit(m) for m in range(1 << DIVIDE) if m.bit_count() <= k])
-    divided = (
-        rows.join(crowded, ["turn", "block"], "left_semi")
-        .withColumn("own", level)
-        .withColumn("flip", F.explode(partners))
-        .withColumn("node", F.least("own", F.col("own").bitwiseXOR(F.col("flip"))))
-        .withColumn("other", F.greatest("own", F.col("own").bitwiseXOR(F.col("flip"))))
-        .drop("own", "flip")
+    block = _top("t.key", width)
+    rows = stored(
+        distinct.select(turns).select("t.turn", "t.key", block.alias("node"), block.alias("other"), F.lit(0).alias("spent")),
+        "simhash-turns",
     )
+    sizes = rows.groupBy(*PAIR).agg(F.count("*").alias("members"))
+    crowded = stored(sizes.where(F.col("members") > crowd), "simhash-crowded")
 
-    def forest(keys: np.ndarray, turn: int, roots: np.ndarray, depth: int, spent: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        root = spanning(keys, trie_links(keys, roots, depth, k, spent))
-        moved = np.flatnonzero(root != np.arange(len(keys)))
-        back = turn * width
-
-        def unturned(found: np.ndarray) -> np.ndarray:
-            if back:
-                found = (found >> np.uint64(back)) | (found << np.uint64(BITS - back))
-            return found.view(np.int64)
-
-        return unturned(keys[moved]), unturned(keys[root[moved]])
-
-    def whole_groups(batches) -> Iterator:
-        for turns, lists in batches:
-            for turn in sorted(set(turns)):
-                members = [m for t, group in zip(turns, lists, strict=True) if t == turn for m in group]
-                keys = np.unique(np.array(members, np.int64).view(np.uint64))
-                blocks = keys >> np.uint64(BITS - width)
-                starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
-                ends = np.r_[starts[1:], len(keys)]
-                roots = np.stack([starts, ends, starts, ends], axis=1)[ends - starts > 1]
-                a, b = forest(keys, turn, roots, width)
-                yield a.tolist(), b.tolist()
-
-    def node_pair(group: pd.DataFrame) -> pd.DataFrame:
-        turn, node, other = (int(group[c].iloc[0]) for c in ("turn", "node", "other"))
-        keys = np.unique(group["key"].to_numpy(np.int64).view(np.uint64))
-        cut = len(keys)
-        if node != other:
-            second = (keys >> np.uint64(BITS - width - DIVIDE)) & np.uint64((1 << DIVIDE) - 1)
-            cut = int(np.searchsorted(second, other))
-        first, last = (0, cut), ((0, cut) if node == other else (cut, len(keys)))
-        roots = np.array([(*first, *last)] if first[1] > first[0] and last[1] > last[0] else [], np.int64).reshape(-1, 4)
-        a, b = forest(keys, turn, roots, width + DIVIDE, (node ^ other).bit_count())
-        return pd.DataFrame({"a": a, "b": b})
-
-    in_groups = map_rows(
-        plain.groupBy("turn", "block").agg(F.collect_list("key").alias("keys")).where(F.size("keys") > 1)
-        .select("turn", "keys"),
-        whole_groups, "a bigint, b bigint",
-    )
-    in_nodes = divided.groupBy("turn", "block", "node", "other").applyInPandas(node_pair, "a bigint, b bigint")
-    return in_groups.union(in_nodes)
+    def gathered(members: DataFrame) -> DataFrame:
+        return (
+            members.groupBy(*PAIR).agg(F.collect_list("key").alias("keys")).where(F.size("keys") > 1)
+            .select(*PAIR, F.lit(depth).alias("depth"), "keys")
+        )
+
+    groups = gathered(rows.join(crowded, [*PAIR], "left_anti"))
+    rows = rows.join(crowded, [*PAIR])
+    left = not crowded.isEmpty()
+    while left:
+        step = min(DIVIDE, BITS - depth)
+        rows, depth = _divided(rows, depth, step, k), depth + step
+        groups = groups.union(gathered(rows.where(F.col("members") <= crowd)))
+        rows = rows.where(F.col("members") > crowd)
+        left = not rows.isEmpty()  # at full depth a pair has two members
+
+    def forests(batches) -> Iterator:
+        for turns, nodes, others, depths, lists in batches:
+            turns, depths = np.array(turns), np.array(depths, np.int64)
+            nodes, others = np.array(nodes, np.int64), np.array(others, np.int64)
+            for turn in np.unique(turns):
+                own = np.flatnonzero(turns == turn)
+                # all members of a node are there, whichever pair brought them
+                keys = np.unique(np.concatenate([np.array(lists[i], np.int64) for i in own]).view(np.uint64))
+                roots = np.stack(
+                    [*node_ranges(keys, nodes[own], depths[own]), *node_ranges(keys, others[own], depths[own])], axis=1
+                )
+                root = spanning(keys, roots, k)
+                moved = np.flatnonzero(root != np.arange(len(keys)))
+                yield [_unturned(found, int(turn) * width).tolist() for found in (keys[moved], keys[root[moved]])]
+
+    return map_rows(groups, forests, "a bigint, b bigint")
+
+
+def _unturned(keys: np.ndarray, by: int) -> np.ndarray:
+    if by:
+        keys = (keys >> np.uint64(by)) | (keys << np.uint64(BITS - by))
+    return keys.view(np.int64)
 
 
 # --- components ---------------------------------------------------------------------------------------------

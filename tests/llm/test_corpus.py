@@ -1,6 +1,7 @@
 """The corpus operators against brute force, and on rows that are NULL, empty, long, tied or repeated."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -455,11 +456,11 @@ def near_keys(n, seed):
 
 @pytest.mark.parametrize("k", [1, 3])
 def test_trie_finds_every_link(k, monkeypatch):
-    monkeypatch.setattr(simhash, "LEAVES", 2)
+    monkeypatch.setattr(simhash, "CHUNK", 50)
     keys = near_keys(160, k)
     array = np.array(keys, np.uint64)
     found = set()
-    for a, b in simhash.trie_links(array, np.array([(0, len(keys), 0, len(keys))]), 0, k):
+    for a, b in simhash.trie_links(array, np.array([(0, len(keys), 0, len(keys))]), k):
         pairs = list(zip(a.tolist(), b.tolist(), strict=True))
         assert not found & set(pairs)
         found |= set(pairs)
@@ -479,6 +480,34 @@ def test_links_and_components(spark, crowd):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("crowd", [2, 40])
+def test_crowded_block_is_divided_until_small(spark, crowd):
+    """One block value holds all keys, a dense cluster among them: pairs across nodes are divided more than once."""
+    rng = random.Random(4)
+    low = [rng.getrandbits(48) for _ in range(60)]
+    dense = [low[0] ^ (1 << i) ^ (1 << j) for i in range(48) for j in range(i)][:300]
+    near = [x ^ sum(1 << b for b in rng.sample(range(48), rng.randint(1, 4))) for x in low for _ in range(4)]
+    keys = sorted({(0xABCD << 48) | x for x in low + dense + near})
+    signed = [int(np.uint64(x).astype(np.int64)) for x in keys]
+    frame = spark.createDataFrame([(x,) for x in signed], "fp bigint")
+    found = {r.node: r.root for r in simhash.components(simhash.links(frame, 3, crowd)).collect()}
+    groups, expected = {}, {}
+    for i, root in enumerate(reached(keys, 3)):
+        expected.setdefault(root, set()).add(signed[i])
+        groups.setdefault(found.get(signed[i], signed[i]), set()).add(signed[i])
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_dense_group_needs_no_visit_per_link():
+    keys = np.unique(np.array([sum(1 << b for b in c) for c in itertools.combinations(range(40), 3)], np.uint64))
+    visited = 0
+    roots = np.array([(0, len(keys), 0, len(keys))])
+    for a, _ in simhash.trie_links(keys[:2000], np.array([(0, 2000, 0, 2000)]), 3):
+        visited += len(a)
+    assert visited > 50_000
+    assert not simhash.spanning(keys, roots, 3).any()
+
+
 def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101)], "a bigint, b bigint")
     found = {r.node: r.root for r in simhash.components(edges).collect()}
