@@ -7,7 +7,7 @@ appended. Only DataFrame operations are used.
 
 NULL texts count as empty. Of equal texts in one batch the largest id stays; a text the index knows from an earlier
 batch stays with the id of then, and other ids in the batch are dropped; entering a batch again, after a failure, gives the same answer. NULL ids lose against others; if a group has NULL ids alone,
-they stand for it. Rows that repeat both id and text are marked alike, and :func:`deduplicate` keeps one of them. Other
+they stand for it. Of rows that repeat both id and text one is marked as kept, also where all ids are NULL; which of them is not said. Other
 columns are ignored, whatever their names.
 """
 
@@ -82,23 +82,29 @@ def judge(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col:
 
     ``group_size`` counts the rows of the batch with that text.
     """
-    digests = stored(docs.select(F.col(id_col), digest(text_col).alias("text_sha256")), "digests")
+    number = F.monotonically_increasing_id().alias("_row")  # stored, so it stays with its row
+    digests = stored(docs.select(F.col(id_col), digest(text_col).alias("text_sha256"), number), "digests")
+    entries = stored(
+        digests.groupBy("text_sha256", F.col(id_col).alias("entry_id")).agg(F.count("*").alias("n"), F.min("_row").alias("first_row")),
+        "digest-entries",
+    )
     groups = stored(
-        digests.groupBy("text_sha256").agg(F.max(id_col).alias("newest_id"), F.count("*").alias("group_size")), "digest-groups"
+        entries.groupBy("text_sha256").agg(F.max("entry_id").alias("newest_id"), F.sum("n").alias("group_size")), "digest-groups"
     )
     known = index.read().hint("merge")
     fresh = groups.join(known, "text_sha256", "left_anti")
     index.append(stored(fresh.withColumnRenamed("newest_id", "keep_id"), "digest-fresh"))
-    verdicts = stored(
-        groups.join(index.read().hint("merge"), "text_sha256").select("text_sha256", "keep_id", "group_size"),
-        "digest-verdicts",
-    )
+    standing = groups.join(index.read().hint("merge"), "text_sha256").select("text_sha256", "keep_id", "group_size")
+    # an id that stands for the text since an earlier batch need not be in this one
+    first = entries.select(F.col("text_sha256").alias("entry_digest"), "entry_id", "first_row")
+    same = (F.col("text_sha256") == F.col("entry_digest")) & F.col("keep_id").eqNullSafe(F.col("entry_id"))
+    verdicts = stored(standing.join(first, same, "left").drop("entry_digest", "entry_id"), "digest-verdicts")
     # both sides come from storage, so Spark can split a digest that very many rows share
     return digests.join(verdicts, "text_sha256").select(
         id_col,
         "keep_id",
         "group_size",
-        F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("_row").eqNullSafe(F.col("first_row")).alias("kept"),
         "text_sha256",
     )
 
@@ -106,10 +112,10 @@ def judge(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col:
 def deduplicate(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text is kept elsewhere."""
     entries = stored(judge(docs, index, id_col, text_col), "digest-entries")
-    losers = stored(entries.where(~F.col("kept")).select(id_col, "text_sha256").distinct(), "digest-losers")
+    standing = F.col(id_col).eqNullSafe(F.col("keep_id"))
+    losers = stored(entries.where(~standing).select(id_col, "text_sha256").distinct(), "digest-losers")
     left = drop_losers(docs, losers, {id_col: F.col(id_col), "text_sha256": digest(text_col)})
-    keys = entries.where("kept").groupBy(id_col, "text_sha256").count()
-    if keys.where("count > 1").isEmpty():
+    if entries.where(standing & ~F.col("kept")).isEmpty():
         return left
     hidden = f"_digest_{uuid.uuid4().hex[:8]}"
     return left.withColumn(hidden, digest(text_col)).dropDuplicates([id_col, hidden]).drop(hidden)

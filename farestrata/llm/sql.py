@@ -99,7 +99,7 @@ FROM edged
 OP5 = """
 WITH digested AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-       doc_id = max(doc_id) OVER same AS kept, text_sha256
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM digested
 WINDOW same AS (PARTITION BY text_sha256)
 """
