@@ -23,7 +23,7 @@ from farestrata.llm import (
     toxicity,
     url_filters,
 )
-from farestrata.llm.common import held_out, new_folder, table
+from farestrata.llm.common import held_out, new_folder, stored, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 URL_RULES = (
@@ -55,7 +55,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = quality.score(docs, quality.learn(docs, labels))
+    known = stored(quality.counted(docs), "quality-terms")
+    scored = quality.score(known, quality.learn(known, labels))
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"),

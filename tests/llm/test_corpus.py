@@ -220,12 +220,62 @@ def test_learning_from_little(spark, odd, nothing, model):
     schema = "doc_id bigint, quality int, toxic int, text string"
     none = spark.createDataFrame([], schema)
     some = spark.createDataFrame([(i, i % 2, i % 2, "no input") for i in range(16)] + [(None, 1, 1, ""), (3, None, None, "")], schema)
+    given, empty = (quality.counted(odd), quality.counted(nothing)) if model is quality else (odd, nothing)
     for labels in (none, some):
-        learnt = model.learn(odd, labels)
-        found = model.score(odd, learnt).collect()
+        learnt = model.learn(given, labels)
+        found = model.score(given, learnt).collect()
         assert len(found) == len(ODD) and all(0 <= r.score <= 1 for r in found)
-        assert model.score(nothing, learnt).count() == 0
-    model.learn(nothing, some)
+        assert model.score(empty, learnt).count() == 0
+    model.learn(empty, some)
+
+
+def test_votes_are_those_of_all_cosines(spark):
+    """Every labelled vector against every document, one by one; copies among the labelled ones make ties across the last place."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["Good", "words", "bad", "junk!!", "x9", "and", "more"], k=rng.randint(1, 30))) for _ in range(60)]
+    texts = [(i, texts[i % 60] if i % 4 else "the same copy of all") for i in range(200)] + [(900, None), (901, ""), (902, "W" * 5000)]
+    frame = docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(200)], "doc_id bigint, quality int")
+    known = quality.counted(frame)
+    model = quality.learn(known, labels)
+    total, seen = quality.document_frequencies(known)
+    assert total == len(texts)
+
+    def counts(text):
+        words, out = WORD.findall(text or ""), Counter()
+        for before, word in zip([None, *words], words):
+            shape = re.sub(r"\d+", "9", re.sub(r"[a-zß-ÿ]+", "x", re.sub(r"[A-ZÀ-Þ]+", "X", word)).replace("X", "\0")).replace("\0", "X")
+            out[zlib.crc32(word.encode()) % quality.WORD_TERMS] += 1
+            out[quality.WORD_TERMS + zlib.crc32(shape.encode()) % quality.SHAPE_TERMS] += 1
+            out[quality.REPEATS] += before == word
+        return +out
+
+    every = [counts(t) for _, t in texts]
+    assert seen.tolist() == [sum(place in own for own in every) for place in range(quality.TERMS)]
+    assert sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(200)) == len(model.vectors) > 3 * quality.NEAREST
+
+    def by_force(own):
+        vector = np.zeros(quality.TERMS)
+        for place, n in own.items():
+            vector[place] = np.log1p(n) * (np.log((1 + total) / (1 + seen[place])) + 1)
+        vector = vector / (np.linalg.norm(vector) or 1) @ model.axes
+        vector = vector / (np.linalg.norm(vector) or 1)
+        near = sorted(((round(float(v @ vector), 4), n) for n, v in enumerate(model.vectors)), reverse=True)
+        last = near[quality.NEAREST - 1][0]
+        tied = [n for c, n in near if c == last]
+        power = {n: c for c, n in near if c > last}
+        power |= dict.fromkeys(tied, last * (quality.NEAREST - len(power)) / len(tied))
+        power = {n: max(p, 0) * model.votes[n] for n, p in power.items()}
+        whole = sum(power.values())
+        return sum(p * model.labels[n] for n, p in power.items()) / whole if whole > 1e-6 else model.share
+
+    found = {r.doc_id: r.score for r in quality.score(known, model).collect()}
+    for (i, _), own in zip(texts, every, strict=True):
+        assert abs(found[i] - by_force(own)) < 2e-3
+    again = {r.doc_id: r.score for r in quality.score(known.repartition(7).sortWithinPartitions(F.desc("doc_id")), model).collect()}
+    assert again == found
+    # of documents that share a labelled id one is learnt from
+    assert len(quality.learn(known.union(known).union(known), labels).vectors) == len(model.vectors)
 
 
 def test_clean_documents_keep_their_columns(spark, odd):
@@ -276,6 +326,17 @@ def test_one_row_of_each_text_is_left(spark):
     index.close()
 
 
+def test_one_row_of_each_text_is_marked_as_kept(spark):
+    given = [(1, "a")] * 40 + [(0, "a")] * 9 + [(None, "a")] * 5 + [(None, "c")] * 30 + [(2, "b"), (3, "b")]
+    index = exact_dedup.DigestIndex(spark, new_folder(spark, "test-index"), buckets=2)
+    for _ in range(2):  # entered again, it is one row as well
+        found = exact_dedup.judge(docs(spark, given), index).collect()
+        assert len(found) == len(given)
+        assert sorted((r.doc_id or -1, r.group_size) for r in found if r.kept) == [(-1, 30), (1, 54), (3, 2)]
+    assert {r.kept for r in exact_dedup.judge(docs(spark, [(0, "a")]), index).collect()} == {False}
+    index.close()
+
+
 # --- rules -------------------------------------------------------------------------------------------------------
 
 
