@@ -46,7 +46,7 @@ def publish(trips: DataFrame, folder: str) -> None:
         parts = f"{folder}/parts-{uuid.uuid4().hex}"
         picked = [F.col(c).alias(PUBLISHED.get(c, c) if number else c) for c in columns]
         ordered = named.where(era).repartition("_name").sortWithinPartitions("_name", "_file_row_number")
-        ordered.select(*picked, *more, "_name").write.partitionBy("_name").parquet(parts)
+        ordered.select(*picked, *more, "_name").write.option("compression", "zstd").partitionBy("_name").parquet(parts)
         for part in files.matching(f"{parts}/*/*.parquet"):
             files.move(part, landing.trips_path(folder, part.split("/")[-2].removeprefix("_name=")))
         files.remove(parts)
@@ -64,10 +64,10 @@ def landed_scan(data: Inputs) -> DataFrame:
 @query
 def landed_inventory(data: Inputs) -> DataFrame:
     """The folder before and after a delivery: November is new, March longer, December gone."""
-    folder = new_folder(data.spark, "landing")
-    publish(data.raw.where(~_file_of(11)), folder)
+    folder, raw = new_folder(data.spark, "landing"), data.kept_raw
+    publish(raw.where(~_file_of(11)), folder)
     before = _kept(landing.inventory(data.spark, folder))
-    publish(data.raw.where(_file_of(11)).union(data.raw.where(_file_of(3))).union(data.raw.where(_file_of(3))), folder)
+    publish(raw.where(_file_of(11)).union(raw.where(_file_of(3))).union(raw.where(_file_of(3))), folder)
     Files(data.spark, folder).remove(f"{folder}/{TRIPS_FOLDER}/*-12.parquet")
     return ledger.inventory_changes(before, landing.inventory(data.spark, folder))
 
