@@ -86,13 +86,13 @@ def load_outcomes(data: Inputs) -> DataFrame:
     Per file: what the ledger says, whether the last run touched it, and the rows that are in place.
     """
     spark, folder = data.spark, new_folder(data.spark, "landing")
-    lake = pipeline.Lake(spark, new_folder(spark, "lake"))
-    publish(data.raw, folder)
+    lake, raw = pipeline.Lake(spark, new_folder(spark, "lake")), data.kept_raw
+    publish(raw, folder)
     first, last = data.expected.agg(
         F.date_format(F.min("source_period"), "yyyy-MM"), F.date_format(F.add_months(F.max("source_period"), -1), "yyyy-MM")
     ).first()
     pipeline.load_trips(lake, folder, first, last)
-    publish(data.raw.where(_file_of(3)).withColumn("total_amount", F.col("total_amount") + 1), folder)
+    publish(raw.where(_file_of(3)).withColumn("total_amount", F.col("total_amount") + 1), folder)
     files = Files(spark, folder)
     for broken in files.matching(f"{folder}/{TRIPS_FOLDER}/*-06.parquet"):
         files.overwrite(broken, b"these are no rows")
