@@ -17,6 +17,7 @@ from farestrata import refs, session
 from farestrata.config import TRIP_COLUMNS, TRIPS_FOLDER, ZONES_FILE, ZONES_FOLDER
 from farestrata.functions import base_name, period_of_file
 from farestrata.operators import bronze, checks, gold, ledger, silver
+from farestrata.operators.dedup import stored_groups
 from farestrata.plans import bridge, pipeline, suites
 from farestrata.plans.catalog import TRIPS_DATASET, Inputs, _file_of, build_layers, query, reload_march, stored_raw, with_use
 from farestrata.sources import landing
@@ -147,15 +148,16 @@ def arrived_files(data: Inputs) -> DataFrame:
     """The fact from files that arrive in two batches, each noticed by the file trigger and loaded at a time of its own (``arrival``)."""
     spark, folder = data.spark, new_folder(data.spark, "landing")
     lake, seen = pipeline.Lake(spark, new_folder(spark, "lake")), new_folder(spark, "seen")
-    early = F.month(period_of_file("_source_file")) <= 6
+    early, trips = F.month(period_of_file("_source_file")) <= 6, data.kept_raw
     for batch in (early, ~early):
-        publish(data.raw.where(batch), folder)
+        publish(trips.where(batch), folder)
         arrivals.follow(lake, folder, seen, job=pipeline.load_trips).awaitTermination()
     raw = lake.read("raw.trips")
     # one row per load
     arrival = F.row_number().over(Window.orderBy("_loaded_at")).alias("arrival")
     loads = raw.select("_loaded_at").distinct().select("_loaded_at", arrival)
-    fact = gold.fct_trips(silver.valid_trips(silver.standardized_trips(bronze.bronze_trips(raw), data.references)))
+    judged = silver.standardized_trips(bronze.bronze_trips(raw), data.references, keep=stored_groups)
+    fact = gold.fct_trips(silver.valid_trips(judged))
     return fact.join(loads, "_loaded_at").drop("_loaded_at")
 
 

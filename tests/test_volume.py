@@ -62,3 +62,23 @@ def test_stored_rows_are_written_where_they_are_read(spark, tmp_path):
     assert spark.conf.get(name) == before
     assert sorted(map(tuple, sink.read().collect())) == sorted(map(tuple, frame.collect()))
     assert all("zstd" in f.name for f in Path(tmp_path).glob("*/data/*/*/*.parquet"))
+
+
+@pytest.mark.parametrize("name", ["landed_inventory", "arrived_files", "load_outcomes"])
+def test_trips_are_derived_once(spark, monkeypatch, name):
+    """Whatever is published more than once comes from stored rows."""
+    read = []
+
+    def publish(trips, folder):
+        read.append(trips)
+        if len(read) == 2 or name == "load_outcomes":
+            raise InterruptedError
+
+    monkeypatch.setattr(landed, "publish", publish)
+    monkeypatch.setattr(landed.arrivals, "follow", lambda *_, **__: spark.sparkContext)
+    monkeypatch.setattr(spark.sparkContext.__class__, "awaitTermination", lambda _: None, raising=False)
+    monkeypatch.setattr(landed, "_kept", lambda listed: listed)
+    monkeypatch.setattr(landed.landing, "inventory", lambda *_: None)
+    with pytest.raises(InterruptedError):
+        getattr(landed, name)(Inputs(spark, "/root/testdata/sf0.001"))
+    assert read and all("lineitem" not in plan_of(trips) for trips in read)
