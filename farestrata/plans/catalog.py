@@ -16,6 +16,7 @@ from farestrata.config import FAILED, LOADED, NOT_AVAILABLE, SKIPPED, TRIP_COLUM
 from farestrata.functions import base_name, period_of_file
 from farestrata.operators import bronze, checks, gold, ledger, marts, silver
 from farestrata.operators.checks import Relationship, TableChecks
+from farestrata.operators.dedup import stored_groups
 from farestrata.plans import bridge, pipeline
 from farestrata.sources.tables import FileTable, new_run
 
@@ -53,7 +54,6 @@ class Inputs:
     def raw(self) -> DataFrame:
         return bridge.raw_trips(self.spark, self.sf_dir)
 
-    @cached_property
     @cached_property
     def kept_raw(self) -> DataFrame:
         """The raw trips, derived once and stored, for what reads them more than once."""
@@ -61,6 +61,7 @@ class Inputs:
         self.raw.write.option("compression", "zstd").parquet(folder)
         return self.spark.read.schema(self.raw.schema).parquet(folder)
 
+    @cached_property
     def bronze(self) -> DataFrame:
         return bronze.bronze_trips(self.raw)
 
@@ -82,7 +83,8 @@ class Inputs:
 
     @cached_property
     def judged(self) -> DataFrame:
-        return silver.standardized_trips(self.bronze, self.references)
+        """Judged from stored rows, so that the wide rows don't move to learn which of them are copies."""
+        return silver.standardized_trips(bronze.bronze_trips(self.kept_raw), self.references, keep=stored_groups)
 
     @cached_property
     def valid(self) -> DataFrame:
