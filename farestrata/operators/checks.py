@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farestrata.functions import base_name
+from farestrata.operators.dedup import suspects
 
 
 @dataclass(frozen=True)
@@ -93,11 +94,15 @@ def _compared_as(child: DataFrame, column: str, parent: DataFrame, key: str) ->
     return "string" if "string" in types else own.union(other).dtypes[0][1]
 
 
-def unique_checks(df: DataFrame, spec: TableChecks) -> DataFrame | None:
-    """Per column, the number of values that occur more than once; NULL is not a value."""
+def unique_checks(df: DataFrame, spec: TableChecks, stored: bool = False) -> DataFrame | None:
+    """Per column, the number of values that occur more than once; NULL is not a value.
+
+    A large ``stored`` table is read twice: once for hashes, then for the values that may be repeated, so few values cross the network.
+    """
     if not spec.unique:
         return None
     values, fields = _values(df, [(c, df.select(c).dtypes[0][1]) for c in spec.unique])
+    values = suspects(values, fields) if stored else values
     repeated = values.groupBy(*fields).agg(F.count("*").alias("n")).where("n > 1")
     results = [_result("unique", spec.table, c, F.count_if(F.col("position") == i)) for i, c in enumerate(spec.unique)]
     return repeated.agg(F.array(*results).alias("results")).select(F.inline("results"))
@@ -132,9 +137,11 @@ def relationship_checks(df: DataFrame, spec: TableChecks, parents: dict[str, Dat
     return orphans.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 
-def run_checks(df: DataFrame, spec: TableChecks, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All checks of a table in at most three scans of the columns they name."""
-    parts = [row_checks(df, spec), unique_checks(df, spec), relationship_checks(df, spec, parents or {})]
+def run_checks(
+    df: DataFrame, spec: TableChecks, parents: dict[str, DataFrame] | None = None, stored: bool = False
+) -> DataFrame:
+    """All checks of a table in at most three scans of the columns they name; one more if ``stored``, for :func:`unique_checks`."""
+    parts = [row_checks(df, spec), unique_checks(df, spec, stored), relationship_checks(df, spec, parents or {})]
     return reduce(DataFrame.union, [p for p in parts if p is not None])
 
 
@@ -236,8 +243,9 @@ def files_missing_from(fact: DataFrame, ledger: DataFrame, dataset: str) -> Data
     return loaded.join(present, "_name", "left_anti").select("source_file")
 
 
-def repeated_business_keys(valid: DataFrame, keys: list[str]) -> DataFrame:
-    """Trips that occur more than once over all files."""
+def repeated_business_keys(valid: DataFrame, keys: list[str], stored: bool = False) -> DataFrame:
+    """Trips that occur more than once over all files; ``stored`` as in :func:`unique_checks`."""
+    valid = suspects(valid.select(*keys), keys) if stored else valid
     return valid.groupBy(*keys).agg(F.count("*").alias("copias")).where("copias > 1")
 
 

@@ -57,7 +57,7 @@ def publish(trips: DataFrame, folder: str) -> None:
 def landed_scan(data: Inputs) -> DataFrame:
     """All landed files by one scan per set of columns: names in any case, missing and unexpected columns, row numbers."""
     folder = new_folder(data.spark, "landing")
-    publish(data.raw, folder)
+    publish(data.kept_raw, folder)
     rows = landing.scan_all(data.spark, folder, datetime.now(UTC))
     return rows.select("_source_file", "_file_row_number", *TRIP_COLUMNS)
 

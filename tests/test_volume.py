@@ -64,6 +64,21 @@ def test_stored_rows_are_written_where_they_are_read(spark, tmp_path):
     assert all("zstd" in f.name for f in Path(tmp_path).glob("*/data/*/*/*.parquet"))
 
 
+def test_unique_by_hashes(spark):
+    frame = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("b", None), (None, 2), (None, 3), ("c", 3), ("d", None)], "s string, n int"
+    )
+    spec = TableChecks("t", unique=("s", "n"))
+    plain = checks.unique_checks(frame, spec).collect()
+    assert checks.unique_checks(frame, spec, stored=True).collect() == plain
+    assert [r.failures for r in plain] == [1, 2]
+    keys = spark.createDataFrame([(1, None), (1, None), (None, 1), (2, 2)], "a int, b int")
+    assert [tuple(r) for r in checks.repeated_business_keys(keys, ["a", "b"], stored=True).collect()] == [(1, None, 2)]
+    many = spark.range(3000).selectExpr("id as k")
+    assert dedup.suspects(many, ["k"]).count() == 0
+    assert dedup.suspects(many.union(many.where("k < 5")), ["k"]).count() == 10
+
+
 @pytest.mark.parametrize("name", ["landed_inventory", "arrived_files", "load_outcomes"])
 def test_trips_are_derived_once(spark, monkeypatch, name):
     """Whatever is published more than once comes from stored rows."""
