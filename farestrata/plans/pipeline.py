@@ -31,6 +31,7 @@ from farestrata.config import (
 from farestrata.operators import bronze, checks, gold, ledger, marts, silver
 from farestrata.operators.dedup import stored_groups
 from farestrata.plans import suites
+from farestrata.session import tidy
 from farestrata.sources import landing
 from farestrata.sources.tables import KEEP, FileTable, new_run
 
@@ -430,7 +431,8 @@ def check_layer(lake: Lake, layer: str) -> DataFrame:
 
 
 def gate(lake: Lake, layer: str) -> None:
-    broken = check_layer(lake, layer).where("failures > 0").collect()
+    with tidy(lake.spark):
+        broken = check_layer(lake, layer).where("failures > 0").collect()
     if broken:
         raise LayerCheckFailed(layer, broken)
 

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager, nullcontext
+from collections.abc import Iterable
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 from datetime import UTC, datetime, timedelta
-from threading import Lock
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farestrata.functions import base_name
+from farestrata.session import held, tidy
 from farestrata.sources.files import Files
 
 LOADS = T.StructType([
@@ -64,29 +64,11 @@ def _began_before(run: str, moment: datetime) -> bool:
 
 #: Files that a task may hold open before it sorts its rows instead.
 WRITERS = 1_000
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
-_writing: dict[str, int] = {}
-_lock = Lock()
 
 
-@contextmanager
-def _as_they_come(spark: SparkSession) -> Iterator[None]:
+def _as_they_come(spark: SparkSession) -> AbstractContextManager[None]:
     """Tasks write all their files side by side, as wide rows sorted by file would be spilled. A setting of the user stays."""
-    session = spark._jsparkSession.sessionUUID()
-    with _lock:
-        ours = session in _writing or int(spark.conf.get(_WRITERS)) == 0
-        if ours:
-            _writing[session] = _writing.get(session, 0) + 1
-            spark.conf.set(_WRITERS, WRITERS)
-    try:
-        yield
-    finally:
-        with _lock:
-            if ours:
-                _writing[session] -= 1
-                if not _writing[session]:
-                    del _writing[session]
-                    spark.conf.unset(_WRITERS)
+    return held(spark, "spark.sql.maxConcurrentOutputFileWriters", WRITERS, "0")
 
 
 class FileTable:
@@ -119,7 +101,7 @@ class FileTable:
         """
         stem = F.lit(WHOLE_PART) if self.whole else F.replace(base_name("_source_file"), F.lit(".parquet"), F.lit(""))
         rows = df.withColumn("_part", stem)
-        with _as_they_come(self.spark) if gathered else nullcontext():
+        with tidy(self.spark), _as_they_come(self.spark) if gathered else nullcontext():
             # else rows are gathered by file in pieces of bounded size, so a file's folder doesn't get one file per task
             placed = rows if gathered else rows.hint("rebalance", "_part")
             placed.write.option("compression", "zstd").partitionBy("_part").parquet(f"{self.data}/{run}")
