@@ -78,6 +78,8 @@ class Lake:
     calendar: Calendar = Calendar()
     #: folder of CSV code tables to use instead of the built-in ones
     code_tables: str | None = None
+    #: rebuilds remove what they superseded longer ago than that; None leaves it to :meth:`compact`
+    keep: timedelta | None = None
 
     def table(self, name: str) -> FileTable:
         layer, table = name.split(".")
@@ -340,6 +342,8 @@ def build_changed(
     if changed:
         built_from = {f: arrived[f].load_id for f in changed}
         sink.replace(build(source.read(changed)), changed, built_from, gathered=True)
+        if lake.keep is not None:
+            sink.compact(lake.keep)
     return changed
 
 

@@ -98,3 +98,19 @@ def test_settings_are_held_and_given_back(spark):
         assert spark.conf.get(CLEANUP) == "true"
     finally:
         spark.conf.unset(CLEANUP)
+
+
+@pytest.mark.parametrize(("keep", "runs"), [(None, 3), (timedelta(0), 1), (timedelta(days=7), 3)])
+def test_rebuilds_remove_what_they_supersede_if_asked_to(spark, tmp_path, keep, runs):
+    lake = pipeline.Lake(spark, str(tmp_path), keep=keep)
+    lake.table("raw.trips").replace(raw(spark, *[distinct(n) for n in range(3)]))
+    for _ in range(3):
+        pipeline.build_changed(lake, "bronze.trips", "raw.trips", bronze.bronze_trips, full_refresh=True)
+    assert len(list((tmp_path / "bronze/trips/data").glob("r*/_part=*"))) == runs
+    assert lake.read("bronze.trips").count() == lake.read("raw.trips").count() == 3
+
+
+def test_layers_stored_for_a_query_keep_nothing_superseded(monkeypatch):
+    monkeypatch.setattr(catalog, "stored_raw", lambda *_: pipeline.Lake(None, "nowhere"))
+    monkeypatch.setattr(catalog, "build_layers", lambda *_: None)
+    assert catalog.stored_layers(SimpleNamespace(raw=None)).keep == timedelta(0)
