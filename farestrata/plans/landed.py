@@ -47,7 +47,8 @@ def publish(trips: DataFrame, folder: str) -> None:
         parts = f"{folder}/parts-{uuid.uuid4().hex}"
         picked = [F.col(c).alias(PUBLISHED.get(c, c) if number else c) for c in columns]
         ordered = named.where(era).repartition("_name").sortWithinPartitions("_name", "_file_row_number")
-        ordered.select(*picked, *more, "_name").write.option("compression", "zstd").partitionBy("_name").parquet(parts)
+        with session.tidy(trips.sparkSession):
+            ordered.select(*picked, *more, "_name").write.option("compression", "zstd").partitionBy("_name").parquet(parts)
         for part in files.matching(f"{parts}/*/*.parquet"):
             files.move(part, landing.trips_path(folder, part.split("/")[-2].removeprefix("_name=")))
         files.remove(parts)
@@ -74,9 +75,10 @@ def landed_inventory(data: Inputs) -> DataFrame:
 
 
 def _kept(listed: DataFrame) -> DataFrame:
-    """One row per file, as of now."""
-    folder = new_folder(listed.sparkSession, "inventory")
-    listed.write.parquet(folder)
+    """A short list, as of now."""
+    folder = new_folder(listed.sparkSession, "kept")
+    with session.tidy(listed.sparkSession):
+        listed.write.parquet(folder)
     return listed.sparkSession.read.schema(listed.schema).parquet(folder)
 
 
@@ -221,7 +223,8 @@ def check_all_layers(data: Inputs) -> DataFrame:
     build_layers(lake)
     lake.table("silver.zones").replace(lake.read("silver.zones").where("location_id <> 7"))
     lake.table("gold.dim_time").replace(lake.read("gold.dim_time").where("time_key <> 3"))
-    return reduce(DataFrame.union, [pipeline.check_layer(lake, layer) for layer in suites.LAYERS])
+    # a few rows per layer
+    return reduce(DataFrame.union, [_kept(pipeline.check_layer(lake, layer)) for layer in suites.LAYERS])
 
 
 @query

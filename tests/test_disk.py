@@ -114,3 +114,14 @@ def test_layers_stored_for_a_query_keep_nothing_superseded(monkeypatch):
     monkeypatch.setattr(catalog, "stored_raw", lambda *_: pipeline.Lake(None, "nowhere"))
     monkeypatch.setattr(catalog, "build_layers", lambda *_: None)
     assert catalog.stored_layers(SimpleNamespace(raw=None)).keep == timedelta(0)
+
+
+def test_results_of_a_layer_are_stored_before_the_next_is_checked(spark, monkeypatch):
+    table = SimpleNamespace(replace=lambda _: None)
+    lake = SimpleNamespace(table=lambda _: table, read=lambda _: spark.range(1).selectExpr("id as location_id", "id as time_key"))
+    monkeypatch.setattr(landed, "stored_raw", lambda *_: lake)
+    monkeypatch.setattr(landed, "build_layers", lambda *_: None)
+    monkeypatch.setattr(pipeline, "check_layer", lambda _, layer: spark.range(9).groupBy((F.col("id") % 2).alias(layer)).count())
+    results = landed.check_all_layers(SimpleNamespace(raw=None))
+    assert results.count() == 2 * len(suites.LAYERS)
+    assert "Exchange" not in results._jdf.queryExecution().executedPlan().toString()
