@@ -59,7 +59,8 @@ class Inputs:
     def kept_raw(self) -> DataFrame:
         """The raw trips, derived once and stored, for what reads them more than once."""
         folder = f"{session.shared_folder(self.spark)}/raw-{new_run()}"
-        self.raw.write.option("compression", "zstd").parquet(folder)
+        with session.tidy(self.spark):
+            self.raw.write.option("compression", "zstd").parquet(folder)
         return self.spark.read.schema(self.raw.schema).parquet(folder)
 
     @cached_property
